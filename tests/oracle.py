@@ -45,6 +45,22 @@ def _rows(cols, raw_rows):
     return sorted(out, key=_key)
 
 
+# Spark type -> DuckDB type name, for the schema part of the check.
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN",
+                 "tinyint": "TINYINT", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
+def type_mismatches(sdf, cur) -> list:
+    duck = {d[0]: str(d[1]) for d in cur.description}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+        if duck.get(f.name) != want:
+            out.append((f.name, f.dataType.simpleString(), duck.get(f.name)))
+    return out
+
+
 def compare(spark, con, name: str, sf_dir: str, spark_fn, sql: str | None) -> dict:
     t0 = time.time()
     sdf = spark_fn(spark, sf_dir)
@@ -58,6 +74,9 @@ def compare(spark, con, name: str, sf_dir: str, spark_fn, sql: str | None) -> di
         return res
     cur = con.execute(sql)
     d_cols = [d[0] for d in cur.description]
+    types = type_mismatches(sdf, cur)
+    if types:
+        res["types"] = types
     d_rows = cur.fetchall()
     res["duck_rows"] = len(d_rows)
     if sorted(s_cols) != sorted(d_cols):

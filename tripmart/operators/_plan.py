@@ -36,29 +36,40 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Ordered sets up to this many rows (proven by a count) are numbered in
+# one partition; larger ones take the distributed path.
+SMALL_SET_ROWS = 1_000_000
+
+
 def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
-                   weight=None, partitions: int | None = None) -> DataFrame:
+                   weight=None, partitions: int | None = None,
+                   small_rows: int = SMALL_SET_ROWS) -> DataFrame:
     """Add ``out_col`` = total weight of all rows sorting strictly before each row.
 
     With no weight every row weighs 1, so ``out_col + 1`` is
     ``row_number() OVER (ORDER BY order_cols)``.  ``order_cols`` must be a
     total order (unique keys) for the result to be deterministic.
 
-    A global ``row_number`` plans an ``Exchange SinglePartition`` — every row
-    through one task.  Instead: range-partition on the order, write the
-    partitions with their ids (so the split is fixed), total each
-    partition, turn the totals into offsets (one row per partition — a
-    proven bound, so broadcast), and add a running total inside each
-    partition.
+    The input is written once (``stage``) and counted.  A set proven to
+    hold at most ``small_rows`` rows gets a plain window in one partition.
+    A larger set never goes through one task: range-partition it on the
+    order, write the partitions with their ids (so the split is fixed),
+    total each partition, turn the totals into offsets (one row per
+    partition — a proven bound, so broadcast) and add a running total
+    inside each partition.
     """
     spark = df.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
+    base = stage(df.withColumn("_w", w), "ordered-set")
+    before = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    if base.limit(small_rows + 1).count() <= small_rows:
+        return (base.withColumn(out_col, F.coalesce(F.sum("_w").over(before), F.lit(0).cast("long")))
+                .drop("_w"))
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = stage(
-        df.repartitionByRange(n_parts, *order_cols)
-          .sortWithinPartitions(*order_cols)
-          .withColumn("_pid", F.spark_partition_id())
-          .withColumn("_w", w),
+        base.repartitionByRange(n_parts, *order_cols)
+            .sortWithinPartitions(*order_cols)
+            .withColumn("_pid", F.spark_partition_id()),
         "positions")
     totals = staged.groupBy("_pid").agg(F.sum("_w").alias("_t"))
     offsets = totals.select(

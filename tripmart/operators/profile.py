@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -42,36 +41,43 @@ def null_profile(df: DataFrame) -> DataFrame:
             "non_null_count", "row_count")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs=QUARTILES) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns, probs=QUARTILES) -> DataFrame:
     """Exact linear-interpolation quantiles (pandas ``describe`` / SQL
-    ``percentile_cont``), one row: ``column`` plus ``q<100p>`` columns.
-
-    The values are first reduced to (value, count) pairs by a map-side
-    combined group-by, then given cumulative counts without a
-    single-partition sort (``with_positions``).  Only the pairs whose count
-    range holds a needed rank survive, so the final step sees at most two
-    rows per quantile.  Nothing here holds all values in one task.
+    ``percentile_cont``): one row per column, ``column_name`` plus ``q<100p>``.
+
+    All columns go in one pass: the values are reduced to
+    (column, value, count) by a map-side combined group-by, then given
+    cumulative counts in (column, value) order without a single-partition
+    sort (``with_positions``).  Per column, its first position and total
+    (one row per column — broadcast) turn that into column-local ranks.
+    Only pairs whose count range holds a needed rank survive, so the final
+    step sees at most two rows per quantile and column.  Nothing here holds
+    all values of a column in one task.
     """
-    c = F.col(column).cast("double")
-    counted = df.where(c.isNotNull()).groupBy(c.alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = with_positions(counted, [F.col("v")], out_col="before", weight="n")
-    # N as a scalar subquery: one small aggregate job, no join.
-    total = ranked.select(F.sum("n")).scalar()
-    # Rank h = (N-1)p (0-based); we need the values at floor(h) and ceil(h).
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]))
+    long = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
+    counted = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = with_positions(counted, [F.col("column_name"), F.col("v")], out_col="pos", weight="n")
+    per_col = ranked.groupBy("column_name").agg(F.min("pos").alias("start"), F.sum("n").alias("total"))
+    local = (ranked.join(F.broadcast(per_col), "column_name")
+             .withColumn("before", F.col("pos") - F.col("start")))
+
+    def covers(r):
+        return (F.col("before") <= r) & (r < F.col("before") + F.col("n"))
+
     needed = []
     for p in probs:
-        h = (total - 1) * F.lit(p)
+        h = (F.col("total") - 1) * F.lit(p)           # 0-based rank, linear interpolation
         needed.append((p, F.floor(h), F.ceil(h), h - F.floor(h)))
-    cover = reduce(lambda a, b: a | b,
-                   [((F.col("before") <= r) & (r < F.col("before") + F.col("n")))
-                    for _, lo, hi, _ in needed for r in (lo, hi)])
-    hits = ranked.where(cover)
+    hits = local.where(reduce(lambda a, b: a | b, [covers(r) for _, lo, hi, _ in needed for r in (lo, hi)]))
     aggs = []
     for p, lo, hi, frac in needed:
-        at = lambda r: F.max(F.when((F.col("before") <= r) & (r < F.col("before") + F.col("n")), F.col("v")))
-        lo_v, hi_v = at(lo), at(hi)
-        aggs.append((lo_v + frac * (hi_v - lo_v)).alias(_qname(p)))
-    return hits.agg(*aggs).select(F.lit(column).alias("column_name"), *[_qname(p) for p in probs])
+        lo_v = F.max(F.when(covers(lo), F.col("v")))
+        hi_v = F.max(F.when(covers(hi), F.col("v")))
+        aggs.append((lo_v + F.max(frac) * (hi_v - lo_v)).alias(_qname(p)))
+    return hits.groupBy("column_name").agg(*aggs)
 
 
 def _qname(p: float) -> str:
@@ -82,27 +88,32 @@ def describe_numeric(df: DataFrame, columns, mean_scale: int | None = None,
                      digits: int | None = None) -> DataFrame:
     """G8 numeric ``describe``: count, mean, std, min, 25%, 50%, 75%, max per column.
 
-    Long form, one row per column.  ``mean_scale`` makes the mean an exact
-    decimal sum over the count; ``digits`` rounds std and quartiles (their
-    last bits depend on summation order).  Quartiles are exact, not the
+    Long form, one row per column.  One aggregate pass gives the moments
+    of every column; one quantile pass gives every column's quartiles.
+    ``mean_scale`` makes the mean an exact decimal sum over the count;
+    ``digits`` rounds std and quartiles (their last bits depend on the
+    order partial results are combined in).  Quartiles are exact, not the
     approximate ones of ``DataFrame.summary``.
     """
-    rows = []
-    for name in columns:
+    columns = list(columns)
+    stats = []
+    for i, name in enumerate(columns):
         c = F.col(name)
         if mean_scale is None:
             mean = F.avg(c)
         else:
             mean = F.sum(c.cast(DecimalType(18, mean_scale))).cast("double") / F.count(c)
-        stats = df.agg(F.lit(name).alias("column_name"), F.count(c).alias("count"), mean.alias("mean"),
-                       F.stddev_samp(c).alias("std"),
-                       F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max"))
-        q = exact_quantiles(df, name)
-        # Both sides are one row; the join key is the column name.
-        rows.append(stats.join(F.broadcast(q), "column_name", "left").select(
-            "column_name", "count", "mean", "std", "min",
-            F.col("q25").alias("p25"), F.col("q50").alias("p50"), F.col("q75").alias("p75"), "max"))
-    out = reduce(DataFrame.unionByName, rows)
+        stats += [F.count(c).alias(f"count{i}"), mean.alias(f"mean{i}"),
+                  F.stddev_samp(c).alias(f"std{i}"),
+                  F.min(c).cast("double").alias(f"min{i}"), F.max(c).cast("double").alias(f"max{i}")]
+    parts = ", ".join(f"'{n}', count{i}, mean{i}, std{i}, min{i}, max{i}" for i, n in enumerate(columns))
+    moments = df.agg(*stats).selectExpr(
+        f"stack({len(columns)}, {parts}) AS (column_name, count, mean, std, min, max)")
+    q = exact_quantiles(df, columns)
+    # One row per column on both sides; the key is the column name.
+    out = moments.join(F.broadcast(q), "column_name", "left").select(
+        "column_name", "count", "mean", "std", "min",
+        F.col("q25").alias("p25"), F.col("q50").alias("p50"), F.col("q75").alias("p75"), "max")
     if digits is not None:
         out = out.withColumns({c: F.round(c, digits) for c in ("std", "p25", "p50", "p75")})
     return out

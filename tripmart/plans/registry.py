@@ -688,7 +688,7 @@ SELECT page_id, position, href,
          regexp_replace(txt, '<[^>]*>', '', 'g'),
          '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&'),
          '^[\s\x{00a0}]+|[\s\x{00a0}]+$', '', 'g') AS link_text
-FROM (SELECT page_id, unnest(generate_series(1, len(h))) AS position, unnest(h) AS href, unnest(t) AS txt
+FROM (SELECT page_id, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS position, unnest(h) AS href, unnest(t) AS txt
       FROM (SELECT page_id,
                    regexp_extract_all(html, '<li[^>]*>\s*<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1) AS h,
                    regexp_extract_all(html, '<li[^>]*>\s*<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2) AS t

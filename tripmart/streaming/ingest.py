@@ -7,6 +7,12 @@ grow the two masters, encode, save masters then facts, move the file to
 drains what is there and stops, and ``cleanSource='archive'`` moves
 consumed files aside.
 
+The reference takes one file per step because its state lives in one
+process.  Here a batch takes every file available (``maxFilesPerTrigger``
+unset) unless asked otherwise: masters number new values by first
+appearance, so one batch of many days and many batches of one day give the
+same decoded facts (tested); only throughput differs.
+
 Retries are safe: facts go to a folder named by the batch id (a retried
 batch overwrites its own folder), masters to ``version=<batch id + 1>``
 and only when the batch found new values, so a retry that finds the
@@ -36,17 +42,17 @@ def land_raw_trips(raw: DataFrame, path: str) -> str:
     return path
 
 
-def _trip_source(spark: SparkSession, landing: str, max_files: int, archive_dir: str | None):
-    src = (spark.readStream.schema(RAW_TRIP_SCHEMA)
-           .option("maxFilesPerTrigger", max_files)
-           .option("pathGlobFilter", "*.json"))
+def _trip_source(spark: SparkSession, landing: str, max_files: int | None, archive_dir: str | None):
+    src = spark.readStream.schema(RAW_TRIP_SCHEMA).option("pathGlobFilter", "*.json")
+    if max_files:
+        src = src.option("maxFilesPerTrigger", max_files)
     if archive_dir:
         src = src.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     return src.json(landing)
 
 
 def run_trip_stream(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
-                    max_files_per_trigger: int = 1, archive_dir: str | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, archive_dir: str | None = None) -> DataFrame:
     """M1: clean every landed trip file once into day-partitioned Parquet facts.
 
     The Parquet file sink commits each batch through its metadata log, so
@@ -62,10 +68,12 @@ def run_trip_stream(spark: SparkSession, landing: str, out_path: str, checkpoint
 
 
 def run_weather_stream(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
-                       max_files_per_trigger: int = 1) -> DataFrame:
+                       max_files_per_trigger: int | None = None) -> DataFrame:
     """X7 (weather half): weather day documents -> hourly rows, once each."""
-    src = (spark.readStream.schema(WEATHER_JSON_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", "*.json").json(landing))
+    src = spark.readStream.schema(WEATHER_JSON_SCHEMA).option("pathGlobFilter", "*.json")
+    if max_files_per_trigger:
+        src = src.option("maxFilesPerTrigger", max_files_per_trigger)
+    src = src.json(landing)
     rows = weather_rows(src).withColumn("day", F.to_date("datetime"))
     q = (rows.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).partitionBy("day")
@@ -94,7 +102,7 @@ def _grow(spark, trips, base, schema, id_col, value_col, batch_id):
     return current
 
 
-def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_trigger: int = 1,
+def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_trigger: int | None = None,
                   archive_dir: str | None = None) -> EtlResult:
     """Trips stream with masters carried from batch to batch.
 
