@@ -43,7 +43,7 @@ SMALL_SET_ROWS = 1_000_000
 
 def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
                    weight=None, partitions: int | None = None,
-                   small_rows: int = SMALL_SET_ROWS) -> DataFrame:
+                   small_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = total weight of all rows sorting strictly before each row.
 
     With no weight every row weighs 1, so ``out_col + 1`` is
@@ -59,6 +59,7 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
     inside each partition.
     """
     spark = df.sparkSession
+    small_rows = SMALL_SET_ROWS if small_rows is None else small_rows
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     base = stage(df.withColumn("_w", w), "ordered-set")
     before = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)

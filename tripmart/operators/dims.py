@@ -66,10 +66,18 @@ def update_master(trips: DataFrame, master: DataFrame, id_col: str, value_col: s
     behaviour (defect B1): one new id per *occurrence*, ordered by
     ``first_col`` and ``occurrence_cols``.
     """
+    grown, _ = grow_master(trips, master, id_col, value_col, first_col, dedupe, occurrence_cols)
+    return grown
+
+
+def grow_master(trips: DataFrame, master: DataFrame, id_col: str, value_col: str,
+                first_col: str = "trip_start_timestamp", dedupe: bool = True,
+                occurrence_cols=("trip_id",)) -> tuple[DataFrame, bool]:
+    """X4, also telling whether anything was added (so callers can skip a write)."""
     require_columns(trips, [value_col, first_col], "trips")
     require_columns(master, [id_col, value_col], "master")
-    start = max_id(master, id_col) + 1
     known = master.select(value_col)
+    old = master.select(F.col(id_col).cast("int").alias(id_col), value_col)
     if dedupe:
         cand = _first_seen(trips, value_col, first_col).join(known, value_col, "left_anti")
         order = [F.col("_first"), F.col(value_col)]
@@ -79,8 +87,11 @@ def update_master(trips: DataFrame, master: DataFrame, id_col: str, value_col: s
                 .select(value_col, F.col(first_col).alias("_first"), *occ)
                 .join(known, value_col, "left_anti"))
         order = [F.col("_first")] + [F.col(c) for c in occ]
+    if cand.isEmpty():
+        return old, False
+    start = max_id(master, id_col) + 1
     added = dense_ids(cand, order, id_col, start).select(id_col, value_col)
-    return master.select(F.col(id_col).cast("int").alias(id_col), value_col).unionByName(added)
+    return old.unionByName(added), True
 
 
 def date_dimension(spark: SparkSession, start=DATE_DIM_START, end=DATE_DIM_END) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import trip_date
 from ..operators.clean import clean_trips
-from ..operators.dims import update_master
+from ..operators.dims import grow_master
 from ..operators.star import encode_keys
 from ..operators.weather import weather_rows
 from ..schemas import COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA, RAW_TRIP_SCHEMA, WEATHER_JSON_SCHEMA
@@ -92,18 +92,18 @@ class EtlResult:
 def _grow(spark, trips, base, schema, id_col, value_col, batch_id):
     """X4 + S11 for one master; returns the master version to encode with."""
     current = files.read_master(spark, base, schema)
-    grown = update_master(trips, current, id_col, value_col)
+    grown, added = grow_master(trips, current, id_col, value_col)
     # Write only when the batch brought new values: a retried batch then
     # finds them present and writes nothing (it never overwrites the
     # version it is reading).
-    if grown.count() > current.count():
+    if added:
         files.write_master_version(grown, base, batch_id + 1)
         return files.read_master(spark, base, schema, version=batch_id + 1)
     return current
 
 
 def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_trigger: int | None = None,
-                  archive_dir: str | None = None) -> EtlResult:
+                  archive_dir: str | None = None, checkpoint: str | None = None) -> EtlResult:
     """Trips stream with masters carried from batch to batch.
 
     Per batch (one day file): clean (X1), grow company and payment-type
@@ -128,7 +128,7 @@ def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_tr
             trips.unpersist()
 
     q = (_trip_source(spark, landing, max_files_per_trigger, archive_dir).writeStream
-         .foreachBatch(batch).option("checkpointLocation", f"{base}/checkpoint")
+         .foreachBatch(batch).option("checkpointLocation", checkpoint or f"{base}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
     try:
