@@ -240,3 +240,10 @@ def test_g9_null_profile(spark):
     got = {r.column_name: r for r in profile.null_profile(df).collect()}
     assert (got["a"].non_null_count, got["b"].non_null_count, got["a"].row_count) == (2, 2, 3)
     assert got["a"].data_type == "int" and got["b"].position == 1
+
+
+def test_d17_weather_offset(spark):
+    doc = {"hourly": {"time": ["2024-03-12T00:00"], "temperature_2m": [1.0], "wind_speed_10m": [1.0],
+                      "rain": [0.0], "precipitation": [0.0]}}
+    df = weather_rows(spark.createDataFrame([doc], WEATHER_JSON_SCHEMA), offset_hours=-5)
+    assert df.first().datetime == dt.datetime(2024, 3, 11, 19, 0)

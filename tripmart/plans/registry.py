@@ -437,6 +437,18 @@ def x2_weather_rows(spark, sf_dir):
     return rows.select("day", "datetime", "temperature", "wind_speed", "rain", "precipitation")
 
 
+@query("m3_weather_stream", _WEATHER_ROWS_SQL)
+def m3_weather_stream(spark, sf_dir):
+    """X7 (weather half): day documents landed as JSON, drained once by a
+    file stream into hourly rows partitioned by day."""
+    from ..streaming.ingest import run_weather_stream
+    landing = scratch_path(spark, "weather-landing")
+    _weather_documents(spark, sf_dir).write.partitionBy("day").json(landing)
+    out = run_weather_stream(spark, landing, scratch_path(spark, "weather-out"),
+                             scratch_path(spark, "weather-ckpt"))
+    return out.select("day", "datetime", "temperature", "wind_speed", "rain", "precipitation")
+
+
 @query("s2_weather_json", _WEATHER_ROWS_SQL)
 def s2_weather_json(spark, sf_dir):
     """Weather day documents landed as JSON (one folder per day), read back, unzipped."""
