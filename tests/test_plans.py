@@ -52,3 +52,8 @@ def test_no_python_udf_in_core_queries(spark):
     for name in ("x1_clean_trips", "f14_rain_class", "s7_html_rows", "j8_star_join"):
         p = _plan(Q[name](spark, SF_ORACLE))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_workday_filter_prunes_fact_partitions_dynamically(spark):
+    p = _plan(Q["g4_rain_by_hour"](spark, SF_ORACLE))
+    assert "dynamicpruningexpression(trip_date" in p

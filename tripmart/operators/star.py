@@ -58,10 +58,20 @@ def join_areas(facts: DataFrame, areas: DataFrame, sized: bool = False) -> DataF
 
 
 def join_date(facts: DataFrame, date_dim: DataFrame, sized: bool = False) -> DataFrame:
-    """Derived trip day = date-dimension day."""
+    """Trip day = date-dimension day.
+
+    Stored facts carry the day as their partition column ``trip_date``;
+    joining on it lets a filter on the date dimension (e.g. workdays only)
+    prune fact folders through dynamic partition pruning.  Otherwise the day
+    is derived from the start timestamp.
+    """
     d = _dim(date_dim.withColumnRenamed("date", "trip_start_date"), sized)
-    with_day = facts if "trip_start_date" in facts.columns else \
-        facts.withColumn("trip_start_date", trip_date("trip_start_timestamp"))
+    if "trip_start_date" in facts.columns:
+        with_day = facts
+    elif "trip_date" in facts.columns:
+        with_day = facts.withColumnRenamed("trip_date", "trip_start_date")
+    else:
+        with_day = facts.withColumn("trip_start_date", trip_date("trip_start_timestamp"))
     return with_day.join(d, "trip_start_date")
 
 
