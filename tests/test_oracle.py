@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tests.conftest import SF_ORACLE, SF_SMALL
-from tests.oracle import compare, duck_connect, type_mismatches
+from tests.oracle import compare, duck_connect
 
 QUERIES = entry.queries()
 SQL = entry.oracle_sql()

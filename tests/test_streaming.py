@@ -4,7 +4,6 @@ batch size does not change the decoded result, replays are idempotent."""
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 from tripmart.operators.star import decode_keys

@@ -20,9 +20,9 @@ from ..functions import (days_back, exact_sum, extension, hour_floor, hour_of_da
 from ..operators import analytics as an
 from ..operators import clean as cl
 from ..operators import dims, profile, star
-from ..operators._plan import stage, with_positions
+from ..operators._plan import with_positions
 from ..operators.weather import weather_extras, weather_rows
-from ..schemas import (COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA, PLAYLIST_SCHEMA,
+from ..schemas import (PAYMENT_TYPE_MASTER_SCHEMA, PLAYLIST_SCHEMA,
                        RAW_TRIP_FIELDS, TRIP_RENAMES)
 from ..session import scratch_path
 from ..sources import files, html
