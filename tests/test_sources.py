@@ -97,3 +97,10 @@ def test_s7_list_links(spark):
     pages = spark.createDataFrame([(5, page)], "page_id long, html string")
     got = [tuple(r) for r in html.html_list_links(pages).collect()]
     assert got == [(5, 1, "/a", "Alpha & co"), (5, 2, "/b", "Beta")]
+
+
+def test_u2_concat_by_name_missing_columns_null(spark):
+    a = spark.createDataFrame([(1, "x")], "id int, company string")
+    b = spark.createDataFrame([("y", 2, 0.5)], "company string, id int, tips double")
+    got = sorted(tuple(r) for r in files.concat_tables([a, b]).select("id", "company", "tips").collect())
+    assert got == [(1, "x", None), (2, "y", 0.5)]

@@ -104,9 +104,11 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     e = read_table(spark, sf_dir, "events")
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    # The JSON key and the seconds feed several fields: compute them once.
+    e = e.select("event_id", "user_id", "ts", "event_type", "value",
+                 _dropoff_area(F.col("props")).alias("_k"), F.floor(F.col("value") * 10).cast("int").alias("_secs"))
     j = e.join(c, e.user_id == c.c_custkey)
-    v, k = F.col("value"), _dropoff_area(F.col("props"))
-    secs = F.floor(v * 10).cast("int")
+    v, k, secs = F.col("value"), F.col("_k"), F.col("_secs")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
     def dec(x, p, s):

@@ -65,6 +65,19 @@ def read_csv_folder(spark: SparkSession, folder: str, schema: StructType) -> Dat
             .option("timestampNTZFormat", CSV_TS_FORMAT).csv(folder))
 
 
+def concat_tables(frames) -> DataFrame:
+    """Stack tables by column name; a column missing from some table is
+    NULL there (pandas ``concat`` semantics).  No data moves: a union is a
+    list of scans."""
+    frames = list(frames)
+    if not frames:
+        raise ValueError("concat_tables needs at least one DataFrame")
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f, allowMissingColumns=True)
+    return out
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
     """CSV with a header, no index column."""
     w = (df.write.mode(mode).option("header", True)
@@ -105,8 +118,7 @@ def write_master_version(master: DataFrame, base: str, version: int) -> None:
     version (the reference copies it aside) and avoids overwriting a path
     that the same job is reading.  Rewriting the same version is idempotent.
     """
-    (master.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .parquet(f"{base.rstrip('/')}/version={int(version)}"))
+    master.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={int(version)}")
 
 
 def read_master(spark: SparkSession, base: str, schema: StructType | None = None,
