@@ -7,17 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.time import DATE_DIM_END, DATE_DIM_START, day_series, iso_weekday
 from ..schemas import require_columns
-from ._plan import with_positions
+from ._plan import stage, with_positions
 
 
-def dense_ids(df: DataFrame, order_cols, id_col: str, start: int = 1) -> DataFrame:
+def dense_ids(df: DataFrame, order_cols, id_col: str, start: int = 1, stored: bool = False) -> DataFrame:
     """``id_col`` = ``start``, ``start+1``, ... following ``order_cols``.
 
     Equal to ``row_number() OVER (ORDER BY order_cols) + start - 1`` without
     funnelling the set through one partition (see ``with_positions``).
-    ``order_cols`` must identify rows uniquely.
+    ``order_cols`` must identify rows uniquely.  ``stored=True`` says ``df``
+    is already a written table (no second staging).
     """
-    out = with_positions(df, list(order_cols), out_col="_before")
+    out = with_positions(df, list(order_cols), out_col="_before", stored=stored)
     return (out.withColumn(id_col, (F.col("_before") + F.lit(start)).cast("int"))
             .drop("_before"))
 
@@ -87,10 +88,11 @@ def grow_master(trips: DataFrame, master: DataFrame, id_col: str, value_col: str
                 .select(value_col, F.col(first_col).alias("_first"), *occ)
                 .join(known, value_col, "left_anti"))
         order = [F.col("_first")] + [F.col(c) for c in occ]
+    cand = stage(cand, "new-values")          # computed once, then read by every step below
     if cand.isEmpty():
         return old, False
     start = max_id(master, id_col) + 1
-    added = dense_ids(cand, order, id_col, start).select(id_col, value_col)
+    added = dense_ids(cand, order, id_col, start, stored=True).select(id_col, value_col)
     return old.unionByName(added), True
 
 

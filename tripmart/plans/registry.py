@@ -413,18 +413,7 @@ def x8_weather_extras(spark, sf_dir):
 # ---------------------------------------------------------------- weather documents
 
 def _weather_documents(spark, sf_dir) -> DataFrame:
-    """Weather as the service sends it: one object per day of parallel hourly
-    arrays.  A day has at most 24 hours, so each collected group is bounded."""
-    w = si.weather(spark, sf_dir)
-    hrs = w.groupBy(F.to_date("datetime").alias("day")).agg(
-        F.array_sort(F.collect_list(F.struct("datetime", "temperature", "wind_speed", "rain", "precipitation")))
-        .alias("h"))
-    return hrs.select("day", F.struct(
-        F.transform("h", lambda x: F.date_format(x["datetime"], "yyyy-MM-dd'T'HH:mm")).alias("time"),
-        F.col("h.temperature").alias("temperature_2m"),
-        F.col("h.wind_speed").alias("wind_speed_10m"),
-        F.col("h.rain").alias("rain"),
-        F.col("h.precipitation").alias("precipitation")).alias("hourly"))
+    return si.weather_documents(spark, sf_dir)
 
 
 _WEATHER_ROWS_SQL = with_views(["weather"], """
