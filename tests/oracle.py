@@ -104,7 +104,15 @@ def main(argv):
 
     sf_dir = "/root/testdata/sf0.01"
     names = argv[1:]
-    spark = build_session("local[8]", 8)
+    import os
+    if os.environ.get("PLAIN_SESSION"):
+        # What a caller with no tripmart settings gets (Spark defaults).
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[8]").getOrCreate()
+    else:
+        spark = build_session("local[8]", 8)
+    if os.environ.get("SESSION_TZ"):
+        spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duck_connect(sf_dir)
     qs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
