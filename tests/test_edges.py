@@ -247,3 +247,14 @@ def test_d17_weather_offset(spark):
                       "rain": [0.0], "precipitation": [0.0]}}
     df = weather_rows(spark.createDataFrame([doc], WEATHER_JSON_SCHEMA), offset_hours=-5)
     assert df.first().datetime == dt.datetime(2024, 3, 11, 19, 0)
+
+
+@pytest.mark.parametrize("small_rows", [0, 10**6])
+def test_c9_cap_over_a_large_day_uses_positions(spark, monkeypatch, small_rows):
+    from tripmart.operators import _plan
+    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", small_rows)
+    rows = [(i, dt.datetime(2024, 3, 12, 0, 0) + dt.timedelta(seconds=(i * 37) % 500)) for i in range(500)]
+    df = spark.createDataFrame(rows, "trip_id int, trip_start_timestamp timestamp_ntz")
+    got = sorted(r.trip_id for r in cl.capped_slice(df, "2024-03-12", cap=40).collect())
+    want = sorted(i for _, i in sorted(((ts, i) for i, ts in rows))[:40])
+    assert got == want
