@@ -20,6 +20,7 @@ recorded at build time decide which dimensions are broadcast.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -210,13 +211,20 @@ def load_star(spark: SparkSession, sf_dir: str) -> Star:
 
 
 def _build_star(spark: SparkSession, sf_dir: str) -> Star:
-    t = _store(trips(spark, sf_dir), "star-trips")
-    company = _sized(_store(build_master(t, "company_id", "company"), "star-company"))
-    payment = _sized(_store(build_master(t, "payment_type_id", "payment_type"), "star-payment-type"))
-    facts = encode_keys(t, payment, company, sized=True).withColumn(
-        "trip_date", trip_date("trip_start_timestamp"))
-    facts = _store(facts, "star-facts", partition_by="trip_date")
-    wx = _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))
-    areas = _sized(_store(community_areas(spark, sf_dir), "star-areas"))
-    dates = _sized(_store(date_dimension(spark), "star-date"))
-    return Star(t, facts, wx, company, payment, areas, dates)
+    """Write the modelled tables.  Independent jobs are submitted from a few
+    driver threads so they share the cluster instead of queueing: weather,
+    areas and dates do not need the trips; the two masters need the trips
+    but not each other; the facts need both masters."""
+    with ThreadPoolExecutor(max_workers=4, thread_name_prefix="star") as pool:
+        wx = pool.submit(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather")))
+        areas = pool.submit(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas")))
+        dates = pool.submit(lambda: _sized(_store(date_dimension(spark), "star-date")))
+        t = _store(trips(spark, sf_dir), "star-trips")
+        company = pool.submit(lambda: _sized(_store(build_master(t, "company_id", "company"), "star-company")))
+        payment = pool.submit(lambda: _sized(_store(
+            build_master(t, "payment_type_id", "payment_type"), "star-payment-type")))
+        company, payment = company.result(), payment.result()
+        facts = encode_keys(t, payment, company, sized=True).withColumn(
+            "trip_date", trip_date("trip_start_timestamp"))
+        facts = _store(facts, "star-facts", partition_by="trip_date")
+        return Star(t, facts, wx.result(), company, payment, areas.result(), dates.result())

@@ -21,6 +21,7 @@ values already present writes nothing.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -117,9 +118,13 @@ def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_tr
     def batch(df: DataFrame, batch_id: int) -> None:
         trips = clean_trips(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            company = _grow(spark, trips, company_base, COMPANY_MASTER_SCHEMA, "company_id", "company", batch_id)
-            payment = _grow(spark, trips, payment_base, PAYMENT_TYPE_MASTER_SCHEMA,
-                            "payment_type_id", "payment_type", batch_id)
+            # The two masters are independent: grow them as concurrent jobs.
+            with ThreadPoolExecutor(max_workers=2, thread_name_prefix="masters") as pool:
+                company = pool.submit(_grow, spark, trips, company_base, COMPANY_MASTER_SCHEMA,
+                                      "company_id", "company", batch_id)
+                payment = pool.submit(_grow, spark, trips, payment_base, PAYMENT_TYPE_MASTER_SCHEMA,
+                                      "payment_type_id", "payment_type", batch_id)
+                company, payment = company.result(), payment.result()
             facts = encode_keys(trips, payment, company).withColumn(
                 "trip_date", trip_date("trip_start_timestamp"))
             (facts.write.mode("overwrite").partitionBy("trip_date")
