@@ -451,7 +451,8 @@ def s2_weather_json(spark, sf_dir):
 # ---------------------------------------------------------------- cleaning on raw trips
 
 def _raw(spark, sf_dir) -> DataFrame:
-    return si.raw_trips(spark, sf_dir)
+    """Raw trips as landed JSON day files (written once per session)."""
+    return si.landed_trips(spark, sf_dir)
 
 
 CLEAN_COLS = tuple(TRIP_RENAMES.get(f, f) for f in RAW_TRIP_FIELDS if f not in (
@@ -705,7 +706,7 @@ SELECT {_cols(RAW_TRIP_FIELDS)}, CAST(substr(trip_start_timestamp, 1, 10) AS DAT
 def s1_trip_json(spark, sf_dir):
     """S9 then S1: land raw trips as JSON by ingest day, read them back as text."""
     path = scratch_path(spark, "raw-trips-json")
-    raw = _raw(spark, sf_dir).withColumn("ingest_date", F.substring("trip_start_timestamp", 1, 10))
+    raw = si.raw_trips(spark, sf_dir).withColumn("ingest_date", F.substring("trip_start_timestamp", 1, 10))
     files.write_raw_json(raw, path)
     return files.read_trip_json(spark, path).select(*RAW_TRIP_FIELDS, "ingest_date")
 
@@ -750,8 +751,8 @@ def s10_partitioned_facts(spark, sf_dir):
 @query("m1_stream_ingest", with_views(["clean"], f"SELECT {_cols(CLEAN_COLS)} FROM clean"))
 def m1_stream_ingest(spark, sf_dir):
     """M1: day files consumed once by a file stream; cleaned facts read back."""
-    from ..streaming.ingest import land_raw_trips, run_trip_stream
-    landing = land_raw_trips(_raw(spark, sf_dir), scratch_path(spark, "landing"))
+    from ..streaming.ingest import run_trip_stream
+    landing = si.load_landing(spark, sf_dir)
     out = run_trip_stream(spark, landing, scratch_path(spark, "stream-facts"),
                           scratch_path(spark, "stream-ckpt"))
     return out.select(*CLEAN_COLS)
@@ -761,9 +762,7 @@ def m1_stream_ingest(spark, sf_dir):
 def m2_stream_masters(spark, sf_dir):
     """The daily ETL as a stream — masters grow batch by batch, facts
     are stored encoded; decoding them must give back every trip's text keys."""
-    from ..streaming.ingest import land_raw_trips, run_daily_etl
-    base = scratch_path(spark, "etl")
-    landing = land_raw_trips(_raw(spark, sf_dir), f"{base}/landing")
-    result = run_daily_etl(spark, landing, base)
+    from ..streaming.ingest import run_daily_etl
+    result = run_daily_etl(spark, si.load_landing(spark, sf_dir), scratch_path(spark, "etl"))
     return star.decode_keys(result.facts, result.company, result.payment_type).select(
         "trip_id", "company", "payment_type")

@@ -34,6 +34,7 @@ from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
 from ..schemas import RAW_TRIP_FIELDS
 from ..session import scratch_path
+from ..sources import files
 from ..tables import read_table
 
 N_COMPANIES = 12
@@ -199,6 +200,29 @@ def _sized(dim: DataFrame) -> DataFrame:
     return F.broadcast(dim) if dim.count() <= MAX_BROADCAST_ROWS else dim
 
 
+_LANDINGS: dict = {}
+
+
+def load_landing(spark: SparkSession, sf_dir: str) -> str:
+    """Land the raw trips once per session and input folder: JSON records,
+    one folder per ingest day (S9), as the extract step leaves them.  The
+    cleaning, profiling and streaming questions read these files (S1)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    with _LOCK:
+        path = _LANDINGS.get(key)
+        if path is None:
+            path = scratch_path(spark, "landing-trips")
+            raw = raw_trips(spark, sf_dir).withColumn("ingest_date", F.substring("trip_start_timestamp", 1, 10))
+            files.write_raw_json(raw, path)
+            _LANDINGS[key] = path
+        return path
+
+
+def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landed raw trips read back with the all-text schema."""
+    return files.read_trip_json(spark, load_landing(spark, sf_dir)).select(*RAW_TRIP_FIELDS)
+
+
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
     """Build (once per session and input folder) and return the stored star."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
