@@ -258,3 +258,24 @@ def test_c9_cap_over_a_large_day_uses_positions(spark, monkeypatch, small_rows):
     got = sorted(r.trip_id for r in cl.capped_slice(df, "2024-03-12", cap=40).collect())
     want = sorted(i for _, i in sorted(((ts, i) for i, ts in rows))[:40])
     assert got == want
+
+
+def test_d2_null_keys_never_match(spark):
+    """Masters never hold NULL (built from non-null values), so the inner
+    join drops a trip with a NULL key — as pandas' merge does here."""
+    from tripmart.operators.star import encode_keys
+    from tripmart.schemas import COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA
+    trips = spark.createDataFrame([(1, "A", "Cash"), (2, None, "Cash")], "trip_id int, company string, payment_type string")
+    comp = spark.createDataFrame([(1, "A")], COMPANY_MASTER_SCHEMA)
+    pay = spark.createDataFrame([(1, "Cash")], PAYMENT_TYPE_MASTER_SCHEMA)
+    assert [r.trip_id for r in encode_keys(trips, pay, comp).collect()] == [1]
+
+
+def test_star_join_keeps_one_row_per_fact(spark):
+    """SURVEY §5.4: with exactly one match per key, trips_full has one row per fact."""
+    from tests.conftest import SF_ORACLE
+    from tripmart.plans import standins as si
+    star = si.load_star(spark, SF_ORACLE)
+    full = star.full()
+    assert full.count() == star.facts.count() == 10_000
+    assert full.select("trip_id").distinct().count() == 10_000
