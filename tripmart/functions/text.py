@@ -11,7 +11,8 @@ from ._util import as_col
 # ``&amp;`` last so that ``&amp;lt;`` becomes ``&lt;`` and not ``<``.
 HTML_ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-    ("&nbsp;", " "), ("&amp;", "&"),
+    ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
+    ("&ndash;", "–"), ("&mdash;", "—"), ("&amp;", "&"),
 )
 
 # Whitespace removed by a Python-style strip (includes no-break space).

@@ -684,17 +684,24 @@ def s6_nested_json(spark, sf_dir):
 
 # ---------------------------------------------------------------- HTML
 
-@query("s7_html_rows", r"""
+def _s7_sql() -> str:
+    from ..functions.text import HTML_ENTITIES
+    from ..sources.html import LIST_LINK
+    text = "regexp_replace(txt, '<[^>]*>', '', 'g')"
+    for ent, ch in HTML_ENTITIES:
+        text = f"replace({text}, '{ent}', '{ch.replace(chr(39), chr(39) * 2)}')"
+    pattern = LIST_LINK.replace("\\\\", "\\")
+    return rf"""
 SELECT page_id, position, href,
-       regexp_replace(replace(replace(replace(replace(replace(replace(replace(
-         regexp_replace(txt, '<[^>]*>', '', 'g'),
-         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&amp;', '&'),
-         '^[\s\x{00a0}]+|[\s\x{00a0}]+$', '', 'g') AS link_text
-FROM (SELECT page_id, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS position, unnest(h) AS href, unnest(t) AS txt
-      FROM (SELECT page_id,
-                   regexp_extract_all(html, '<li[^>]*>\s*<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 1) AS h,
-                   regexp_extract_all(html, '<li[^>]*>\s*<a[^>]*href="([^"]*)"[^>]*>(.*?)</a>', 2) AS t
-            FROM pages))""")
+       regexp_replace({text}, '^[\s\x{{00a0}}]+|[\s\x{{00a0}}]+$', '', 'g') AS link_text
+FROM (SELECT page_id, CAST(unnest(generate_series(1, len(h))) AS INTEGER) AS position, unnest(h) AS href,
+             unnest(t) AS txt
+      FROM (SELECT page_id, regexp_extract_all(html, '{pattern}', 1) AS h,
+                   regexp_extract_all(html, '{pattern}', 2) AS t
+            FROM pages))"""
+
+
+@query("s7_html_rows", _s7_sql())
 def s7_html_rows(spark, sf_dir):
     return html.html_list_links(read_table(spark, sf_dir, "pages"))
 
