@@ -33,7 +33,7 @@ from ..operators.dims import build_master, date_dimension
 from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
 from ..schemas import RAW_TRIP_FIELDS
-from ..session import scratch_path
+from ..session import scratch_path, session_key
 from ..sources import files
 from ..tables import read_table
 
@@ -207,7 +207,7 @@ def load_landing(spark: SparkSession, sf_dir: str) -> str:
     """Land the raw trips once per session and input folder: JSON records,
     one folder per ingest day (S9), as the extract step leaves them.  The
     cleaning, profiling and streaming questions read these files (S1)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         path = _LANDINGS.get(key)
         if path is None:
@@ -225,7 +225,7 @@ def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
     """Build (once per session and input folder) and return the stored star."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         star = _STARS.get(key)
         if star is None:

@@ -45,7 +45,13 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, read the setting instead
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        return configured.rstrip("/")
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
@@ -56,6 +62,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def session_key(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session memos)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # Spark Connect
+        return spark.conf.get("spark.app.id", "connect")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint directory for one written table."""
     base = ensure_checkpoint_dir(spark)
