@@ -188,6 +188,8 @@ _LOCK = threading.Lock()
 def _store(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if partition_by:
+        df = files.rebalanced(df, partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(partition_by)

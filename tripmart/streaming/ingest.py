@@ -127,7 +127,7 @@ def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_tr
                 company, payment = company.result(), payment.result()
             facts = encode_keys(trips, payment, company).withColumn(
                 "trip_date", trip_date("trip_start_timestamp"))
-            (facts.write.mode("overwrite").partitionBy("trip_date")
+            (files.rebalanced(facts, "trip_date").write.mode("overwrite").partitionBy("trip_date")
              .parquet(f"{facts_base}/batch={batch_id}"))
         finally:
             trips.unpersist()
