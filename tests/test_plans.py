@@ -57,3 +57,26 @@ def test_no_python_udf_in_core_queries(spark):
 def test_workday_filter_prunes_fact_partitions_dynamically(spark):
     p = _plan(Q["g4_rain_by_hour"](spark, SF_ORACLE))
     assert "dynamicpruningexpression(trip_date" in p
+
+
+def test_dimensions_over_the_bound_use_shuffle_joins_with_same_answers(spark, monkeypatch):
+    """The other way beyond the broadcast bound: with the bound at 0 rows and
+    automatic broadcasting off, the star joins become sort-merge joins and
+    every question still gives the same rows."""
+    from tripmart.operators import analytics as an
+    from tripmart.plans import standins as si
+    broadcast_star = si.load_star(spark, SF_ORACLE)
+    want = {f.__name__: sorted(map(tuple, f(broadcast_star.full()).collect()))
+            for f in (an.trips_per_company, an.taxis_per_company, an.trips_per_weekday, an.rain_by_hour)}
+    monkeypatch.setattr(si, "MAX_BROADCAST_ROWS", 0)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffle_star = si._build_star(spark, SF_ORACLE)
+        full = shuffle_star.full()
+        p = _plan(an.trips_per_company(full))
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        for f in (an.trips_per_company, an.taxis_per_company, an.trips_per_weekday, an.rain_by_hour):
+            assert sorted(map(tuple, f(full).collect())) == want[f.__name__], f.__name__
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
