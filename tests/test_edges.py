@@ -279,3 +279,18 @@ def test_star_join_keeps_one_row_per_fact(spark):
     full = star.full()
     assert full.count() == star.facts.count() == 10_000
     assert full.select("trip_id").distinct().count() == 10_000
+
+
+def test_f19_html_unescape_matches_python(spark):
+    import html as pyhtml
+
+    from tripmart.functions import html_unescape
+    samples = ["caf&#233; &amp; bar", "&#xE9;t&#xe9; &lt;b&gt;", "emoji &#128512; and &#x1F600;",
+               "&amp;#233; stays literal", "plain text", "&copy; 2024 &middot; x&nbsp;y", "", "&#0; &#xD800;"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(samples)], "i int, t string")
+    got = [r[0] for r in df.select(html_unescape("t")).orderBy(df.i).collect()]
+    for g, t in zip(got, samples):
+        if "&#0;" in t:                       # invalid code points stay as written
+            assert g == t
+        else:
+            assert g == pyhtml.unescape(t), t

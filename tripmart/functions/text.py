@@ -50,9 +50,38 @@ def json_path(c, path: str) -> Column:
     return F.get_json_object(as_col(c), path)
 
 
+_NUMERIC_REF = "&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+
+def _utf16_hex(cp: Column) -> Column:
+    """Code point -> its UTF-16BE code units as hex (a surrogate pair above U+FFFF)."""
+    v = cp - F.lit(0x10000)
+    hi = F.lit(0xD800) + F.shiftright(v, 10)
+    lo = F.lit(0xDC00) + v.bitwiseAND(F.lit(0x3FF))
+    return F.when(cp < 0x10000, F.lpad(F.hex(cp), 4, "0")).otherwise(
+        F.concat(F.lpad(F.hex(hi), 4, "0"), F.lpad(F.hex(lo), 4, "0")))
+
+
+def _numeric_ref_text(ref: Column) -> Column:
+    body = F.regexp_extract(ref, _NUMERIC_REF, 1)
+    is_hex = F.lower(F.substring(body, 1, 1)) == "x"
+    cp = F.when(is_hex, F.conv(F.substring(body, 2, 6), 16, 10)).otherwise(body).cast("long")
+    valid = (cp > 0) & (cp <= 0x10FFFF) & ~((cp >= 0xD800) & (cp <= 0xDFFF))
+    return F.when(valid, F.decode(F.unhex(_utf16_hex(cp)), "UTF-16BE")).otherwise(ref)
+
+
 def html_unescape(c) -> Column:
-    """decode the common character references."""
+    """decode numeric character references (``&#233;``, ``&#xE9;``) and
+    the common named ones.
+
+    Numeric references are found with ``regexp_extract_all`` and replaced
+    one by one with ``aggregate`` (a higher-order function, JVM-side); each
+    code point becomes text through its UTF-16 code units.  Named
+    references follow, ``&amp;`` last.
+    """
     out = as_col(c)
+    refs = F.array_distinct(F.regexp_extract_all(out, F.lit(_NUMERIC_REF), 0))
+    out = F.aggregate(refs, out, lambda acc, r: F.replace(acc, r, _numeric_ref_text(r)))
     for ent, ch in HTML_ENTITIES:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
