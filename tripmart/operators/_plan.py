@@ -43,7 +43,8 @@ SMALL_SET_ROWS = 1_000_000
 
 def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
                    weight=None, partitions: int | None = None,
-                   small_rows: int | None = None, stored: bool = False) -> DataFrame:
+                   small_rows: int | None = None, stored: bool = False,
+                   known_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = total weight of all rows sorting strictly before each row.
 
     With no weight every row weighs 1, so ``out_col + 1`` is
@@ -51,7 +52,8 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
     total order (unique keys) for the result to be deterministic.
 
     The input is written once (``stage``; skipped when the caller passes
-    ``stored=True`` for a table that is already written) and counted.  A set proven to
+    ``stored=True`` for a table that is already written) and counted
+    (skipped when the caller passes ``known_rows``).  A set proven to
     hold at most ``small_rows`` rows gets a plain window in one partition.
     A larger set never goes through one task: range-partition it on the
     order, write the partitions with their ids (so the split is fixed),
@@ -64,7 +66,8 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     base = df.withColumn("_w", w) if stored else stage(df.withColumn("_w", w), "ordered-set")
     before = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    if base.limit(small_rows + 1).count() <= small_rows:
+    n = known_rows if known_rows is not None else base.limit(small_rows + 1).count()
+    if n <= small_rows:
         return (base.withColumn(out_col, F.coalesce(F.sum("_w").over(before), F.lit(0).cast("long")))
                 .drop("_w"))
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

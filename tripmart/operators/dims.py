@@ -10,7 +10,8 @@ from ..schemas import require_columns
 from ._plan import stage, with_positions
 
 
-def dense_ids(df: DataFrame, order_cols, id_col: str, start: int = 1, stored: bool = False) -> DataFrame:
+def dense_ids(df: DataFrame, order_cols, id_col: str, start: int = 1, stored: bool = False,
+              known_rows: int | None = None) -> DataFrame:
     """``id_col`` = ``start``, ``start+1``, ... following ``order_cols``.
 
     Equal to ``row_number() OVER (ORDER BY order_cols) + start - 1`` without
@@ -18,7 +19,7 @@ def dense_ids(df: DataFrame, order_cols, id_col: str, start: int = 1, stored: bo
     ``order_cols`` must identify rows uniquely.  ``stored=True`` says ``df``
     is already a written table (no second staging).
     """
-    out = with_positions(df, list(order_cols), out_col="_before", stored=stored)
+    out = with_positions(df, list(order_cols), out_col="_before", stored=stored, known_rows=known_rows)
     return (out.withColumn(id_col, (F.col("_before") + F.lit(start)).cast("int"))
             .drop("_before"))
 
@@ -89,10 +90,11 @@ def grow_master(trips: DataFrame, master: DataFrame, id_col: str, value_col: str
                 .join(known, value_col, "left_anti"))
         order = [F.col("_first")] + [F.col(c) for c in occ]
     cand = stage(cand, "new-values")          # computed once, then read by every step below
-    if cand.isEmpty():
+    n_new = cand.count()
+    if n_new == 0:
         return old, False
     start = max_id(master, id_col) + 1
-    added = dense_ids(cand, order, id_col, start, stored=True).select(id_col, value_col)
+    added = dense_ids(cand, order, id_col, start, stored=True, known_rows=n_new).select(id_col, value_col)
     return old.unionByName(added), True
 
 
