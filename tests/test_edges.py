@@ -294,3 +294,10 @@ def test_f19_html_unescape_matches_python(spark):
             assert g == t
         else:
             assert g == pyhtml.unescape(t), t
+
+
+def test_g8_describe_text_all_null_column(spark):
+    df = spark.createDataFrame([("a", None), ("a", None)], "v string, w string")
+    got = {r.column_name: r for r in profile.describe_text(df, ["v", "w"]).collect()}
+    assert (got["w"]["count"], got["w"]["unique"], got["w"]["top"]) == (0, 0, None)
+    assert (got["v"]["count"], got["v"]["top"], got["v"]["freq"]) == (2, "a", 2)

@@ -120,15 +120,25 @@ def describe_numeric(df: DataFrame, columns, mean_scale: int | None = None,
 
 
 def describe_text(df: DataFrame, columns) -> DataFrame:
-    """G8 text ``describe``: count, unique, top (most frequent; ties by value), freq."""
-    rows = []
-    for name in columns:
-        vc = df.where(F.col(name).isNotNull()).groupBy(F.col(name).alias("v")).agg(
-            F.count(F.lit(1)).alias("n"))
-        rows.append(vc.agg(
-            F.lit(name).alias("column_name"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min_by("v", F.struct((-F.col("n")).alias("neg"), F.col("v"))).alias("top"),
-            F.max("n").alias("freq")))
-    return reduce(DataFrame.unionByName, rows)
+    """G8 text ``describe``: count, unique, top (most frequent; ties by value), freq.
+
+    One pass for all columns: rows become (column, value) pairs, counted by
+    a map-side combined group-by, then summarised per column.  A value
+    holding a third of all rows is just one pair with a large count.
+    """
+    columns = [columns] if isinstance(columns, str) else list(columns)
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns]))
+    long = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
+    vc = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    summary = vc.groupBy("column_name").agg(
+        F.sum("n").alias("count"),
+        F.count(F.lit(1)).alias("unique"),
+        F.min_by("v", F.struct((-F.col("n")).alias("neg"), F.col("v"))).alias("top"),
+        F.max("n").alias("freq"))
+    # A column with no value at all still gets its row (count 0, unique 0);
+    # both sides hold one row per requested column.
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    return (F.broadcast(names).join(summary, "column_name", "left")
+            .select("column_name", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
+                    F.coalesce("unique", F.lit(0).cast("bigint")).alias("unique"), "top", "freq"))

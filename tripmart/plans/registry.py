@@ -629,6 +629,46 @@ def g8_describe_text(spark, sf_dir):
     return profile.describe_text(_star(spark, sf_dir).trips, TEXT_PROFILE)
 
 
+def _describe_text_sql(view: str, columns) -> str:
+    parts = []
+    for c in columns:
+        vc = f"(SELECT {c} AS v, COUNT(*) AS n FROM {view} WHERE {c} IS NOT NULL GROUP BY {c})"
+        parts.append(f"""SELECT '{c}' AS column_name, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS count,
+  COUNT(*) AS "unique", (SELECT v FROM {vc} ORDER BY n DESC, v LIMIT 1) AS top, MAX(n) AS freq FROM {vc}""")
+    return with_views([view], "\nUNION ALL\n".join(parts))
+
+
+@query("g8_describe_raw_text", _describe_text_sql("raw_trips", RAW_TRIP_FIELDS))
+def g8_describe_raw_text(spark, sf_dir):
+    """G8 on the untyped landed records, as the reference describes them
+    before any cast: count, unique, top, freq for all 23 text fields."""
+    return profile.describe_text(_raw(spark, sf_dir), RAW_TRIP_FIELDS)
+
+
+CLEAN_NUMERIC = ("trip_seconds", "trip_miles", "pickup_community_area_id", "dropoff_community_area_id",
+                 "fare", "tips", "tolls", "extras", "trip_total", "pickup_centroid_latitude",
+                 "pickup_centroid_longitude", "dropoff_centroid_latitude", "dropoff_centroid_longitude")
+
+
+def _g8_clean_sql() -> str:
+    parts = []
+    for c in CLEAN_NUMERIC:
+        parts.append(f"""SELECT '{c}' AS column_name, COUNT({c}) AS count,
+  CAST(SUM(CAST({c} AS DECIMAL(18,6))) AS DOUBLE) / COUNT({c}) AS mean,
+  ROUND(stddev_samp({c}), 6) AS std, CAST(MIN({c}) AS DOUBLE) AS min,
+  ROUND(quantile_cont({c}, 0.25), 6) AS p25, ROUND(quantile_cont({c}, 0.5), 6) AS p50,
+  ROUND(quantile_cont({c}, 0.75), 6) AS p75, CAST(MAX({c}) AS DOUBLE) AS max FROM clean""")
+    return with_views(["clean"], "\nUNION ALL\n".join(parts))
+
+
+@query("g8_describe_clean_trips", _g8_clean_sql())
+def g8_describe_clean_trips(spark, sf_dir):
+    """G8 on the typed trips (after X1), every numeric column, as the
+    reference's sanity check does; six decimals hold every input digit."""
+    clean = cl.clean_trips(_raw(spark, sf_dir))
+    return profile.describe_numeric(clean, CLEAN_NUMERIC, mean_scale=6, digits=6)
+
+
 # ---------------------------------------------------------------- nested documents
 
 def _items(spark, sf_dir) -> DataFrame:
