@@ -31,6 +31,9 @@ def test_etl_then_report(spark, capsys):
             .orderBy(F.desc("trip_count"), "company").limit(7).collect()]
     assert got == want
 
-    main(["report", "--warehouse", wh, "--areas", areas])
+    out_dir = scratch_path(spark, "cli-report")
+    main(["report", "--warehouse", wh, "--areas", areas, "--out", out_dir])
     out = capsys.readouterr().out
     assert "Trips per company (top 7)" in out and "Daily rides per weekday (SQL)" in out
+    back = spark.read.option("header", True).csv(f"{out_dir}/trips_per_company__top_7")
+    assert [(r.company, int(r.trip_count)) for r in back.collect()] == got

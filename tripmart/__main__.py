@@ -1,7 +1,7 @@
 """Command line: the daily ETL and the analysis report.
 
     python -m tripmart etl --trips-landing DIR --weather-landing DIR --warehouse DIR
-    python -m tripmart report --warehouse DIR --areas PARQUET [--pages]
+    python -m tripmart report --warehouse DIR --areas PARQUET [--pages] [--out DIR]
 
 ``etl`` drains the landed trip and weather day files once (re-running adds
 nothing new); ``report`` prints the questions' frames.  The Spark master
@@ -18,7 +18,7 @@ from .operators import analytics as an
 from .plans import sql as sqltext
 from .plans.warehouse import star_from_warehouse, warehouse_paths
 from .session import ensure_checkpoint_dir
-from .sources import html
+from .sources import files, html
 from .streaming import run_daily_etl, run_weather_stream
 
 
@@ -51,6 +51,10 @@ def _report(spark, args) -> None:
     for title, df in frames.items():
         print(f"\n== {title}")
         df.show(30, truncate=False)
+        if args.out:
+            # Each chart's frame as a CSV with a header (small: top-k or per-hour rows).
+            name = "".join(ch if ch.isalnum() else "_" for ch in title.lower()).strip("_")
+            files.write_csv(df.coalesce(1), f"{args.out.rstrip('/')}/{name}")
 
 
 def main(argv=None) -> None:
@@ -66,6 +70,7 @@ def main(argv=None) -> None:
     r.add_argument("--warehouse", required=True)
     r.add_argument("--areas", required=True, help="Parquet with area_code, community_name (or pages)")
     r.add_argument("--pages", action="store_true", help="--areas holds pages (page_id, html) to parse")
+    r.add_argument("--out", help="also write each frame as CSV below this folder")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"tripmart-{args.cmd}").getOrCreate()
     ensure_checkpoint_dir(spark)
