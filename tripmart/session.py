@@ -28,6 +28,21 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (apply with spark-submit --conf or
+# the session builder).  Sizes are per partition, not per cluster, so they
+# hold as the data grows; the shuffle partition count is a starting point
+# that AQE coalesces or splits at runtime.
+CLUSTER_CONF = {
+    **{k: v for k, v in DEFAULT_CONF.items() if k != "spark.sql.session.timeZone"},
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app: str = "tripmart", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app)
