@@ -71,10 +71,9 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
         return (base.withColumn(out_col, F.coalesce(F.sum("_w").over(before), F.lit(0).cast("long")))
                 .drop("_w"))
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # No sort here: the running total below sorts each partition anyway.
     staged = stage(
-        base.repartitionByRange(n_parts, *order_cols)
-            .sortWithinPartitions(*order_cols)
-            .withColumn("_pid", F.spark_partition_id()),
+        base.repartitionByRange(n_parts, *order_cols).withColumn("_pid", F.spark_partition_id()),
         "positions")
     totals = staged.groupBy("_pid").agg(F.sum("_w").alias("_t"))
     offsets = totals.select(
