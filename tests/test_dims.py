@@ -30,10 +30,10 @@ def test_dense_ids_equal_row_number(spark, path):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_distributed_path_splits_rows_by_range_partition(spark, monkeypatch):
-    """The large-set path numbers rows per range partition: the plan
-    partitions the rows by the partition id, never all rows into one task
-    (only the per-partition totals, one row each, share a partition)."""
+def test_distributed_path_has_no_window_over_the_rows(spark, monkeypatch):
+    """The large-set path ranks rows inside their range partition from a
+    local sort: the only window left is the one over the per-partition
+    totals (one row per partition), so no row goes through a single task."""
     import contextlib
     import io
     monkeypatch.setattr(_plan, "SMALL_SET_ROWS", 0)
@@ -43,7 +43,8 @@ def test_distributed_path_splits_rows_by_range_partition(spark, monkeypatch):
     with contextlib.redirect_stdout(buf):
         out.explain()
     plan = buf.getvalue()
-    assert "hashpartitioning(_pid" in plan
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "_t" in windows[0]
     assert out.agg(F.min("rid"), F.max("rid"), F.countDistinct("rid")).first() == (1, 1000, 1000)
 
 

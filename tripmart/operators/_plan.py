@@ -58,8 +58,9 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
     A larger set never goes through one task: range-partition it on the
     order, write the partitions with their ids (so the split is fixed),
     total each partition, turn the totals into offsets (one row per
-    partition — a proven bound, so broadcast) and add a running total
-    inside each partition.
+    partition — a proven bound, so broadcast) and add each row's rank
+    inside its partition (its index after a local sort for unit weights,
+    a running total per partition otherwise).
     """
     spark = df.sparkSession
     small_rows = SMALL_SET_ROWS if small_rows is None else small_rows
@@ -71,17 +72,35 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
         return (base.withColumn(out_col, F.coalesce(F.sum("_w").over(before), F.lit(0).cast("long")))
                 .drop("_w"))
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # No sort here: the running total below sorts each partition anyway.
-    staged = stage(
-        base.repartitionByRange(n_parts, *order_cols).withColumn("_pid", F.spark_partition_id()),
-        "positions")
-    totals = staged.groupBy("_pid").agg(F.sum("_w").alias("_t"))
-    offsets = totals.select(
-        "_pid",
-        F.coalesce(F.sum("_t").over(Window.orderBy("_pid")
-                                    .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0).cast("long")).alias("_off"))
+    ranged = base.repartitionByRange(n_parts, *order_cols)
+    if weight is None:
+        # Unit weights: after the local sort, a row's rank inside its range
+        # partition is its index there — monotonically_increasing_id minus the
+        # partition's base (partition id << 33).  No second shuffle.  The
+        # staged write freezes ids and indexes, so a retried task cannot
+        # renumber anything.
+        pid = F.spark_partition_id()
+        staged = stage(
+            ranged.sortWithinPartitions(*order_cols)
+                  .withColumn("_pid", pid)
+                  .withColumn("_local", F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)),
+            "positions")
+        offsets = _offsets(staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_t")))
+        return (staged.join(F.broadcast(offsets), "_pid")
+                .withColumn(out_col, F.col("_off") + F.col("_local"))
+                .drop("_pid", "_w", "_off", "_local"))
+    # Weighted: a running total inside each range partition.
+    staged = stage(ranged.withColumn("_pid", F.spark_partition_id()), "positions")
+    offsets = _offsets(staged.groupBy("_pid").agg(F.sum("_w").alias("_t")))
     local = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
     return (staged.join(F.broadcast(offsets), "_pid")
             .withColumn(out_col, F.col("_off") + F.coalesce(F.sum("_w").over(local), F.lit(0).cast("long")))
             .drop("_pid", "_w", "_off"))
+
+
+def _offsets(totals: DataFrame) -> DataFrame:
+    """Per range partition, the total of all earlier partitions (one row each)."""
+    return totals.select(
+        "_pid",
+        F.coalesce(F.sum("_t").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0).cast("long")).alias("_off"))
