@@ -111,6 +111,10 @@ def main(argv):
         spark = SparkSession.builder.master("local[8]").getOrCreate()
     else:
         spark = build_session("local[8]", 8)
+    if os.environ.get("FORCE_DISTRIBUTED"):
+        # Every ordered set takes the large-set (range-partitioned) path.
+        from tripmart.operators import _plan
+        _plan.SMALL_SET_ROWS = 0
     if os.environ.get("SESSION_TZ"):
         spark.conf.set("spark.sql.session.timeZone", os.environ["SESSION_TZ"])
     con = duck_connect(sf_dir)
