@@ -24,6 +24,38 @@ def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Da
     return F.broadcast(dim) if n <= max_rows else dim
 
 
+# Copies of the small side when a join salts its keys by hand.
+SALT_BUCKETS = 16
+
+
+def _aqe_splits_skew(spark) -> bool:
+    conf = spark.conf
+    return (conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+            and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true")
+
+
+def skew_safe_join(big: DataFrame, small: DataFrame, on, how: str = "inner",
+                   salt_from=None, buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Equi-join where one key of ``big`` may hold a third of its rows.
+
+    A broadcast ``small`` side or adaptive execution with skew-join handling
+    already splits a hot key, so the plain join is returned.  Otherwise the
+    keys are salted by hand: each ``big`` row gets a salt from a hash of
+    ``salt_from`` (deterministic, so a retried task sends rows to the same
+    place), ``small`` is repeated once per salt value, and the join is on
+    (keys, salt).  A hot key is then spread over ``buckets`` tasks; every
+    ``big`` row still meets exactly one copy of its match.  Inner and left
+    joins only (the salted side must be the preserved one).
+    """
+    keys = [on] if isinstance(on, str) else list(on)
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti") or _aqe_splits_skew(big.sparkSession):
+        return big.join(small, keys, how)
+    src = [F.col(c) for c in (salt_from or big.columns)]
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*src), F.lit(buckets)).cast("int"))
+    copies = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return salted.join(copies, keys + ["_salt"], how).drop("_salt")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back.
 

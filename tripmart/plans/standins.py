@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum
 from ..functions.time import hour_floor, trip_date
-from ..operators._plan import MAX_BROADCAST_ROWS
+from ..operators._plan import MAX_BROADCAST_ROWS, skew_safe_join
 from ..operators.dims import build_master, date_dimension
 from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
@@ -49,16 +49,23 @@ def _dropoff_area(props) -> F.Column:
     return F.get_json_object(props, "$.k").cast("int") % N_AREAS
 
 
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(F.col("c_custkey").alias("user_id"), "c_nationkey")
+
+
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed trips before key encoding (what X1 produces).
 
-    The customer join is left to the planner: ``customer`` grows with the
-    data, so it is broadcast only while its stored size is under the
-    threshold, and sort-merge joined (AQE splitting a hot user) beyond.
+    The customer join gets no hint: ``customer`` grows with the data, so the
+    planner broadcasts it only while its stored size is under the threshold
+    and shuffle-joins it beyond.  A user holding a third of all events is
+    then split across tasks (``skew_safe_join``: AQE, or salting when
+    adaptive skew handling is off).
     """
     e = read_table(spark, sf_dir, "events")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    j = e.join(c, e.user_id == c.c_custkey)
+    c = _customers(spark, sf_dir)
+    j = skew_safe_join(e, c, "user_id", salt_from=["event_id"])
     return j.select(
         F.col("event_id").alias("trip_id"),
         F.col("user_id").alias("taxi_id"),
@@ -121,11 +128,10 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows survive cleaning).
     """
     e = read_table(spark, sf_dir, "events")
-    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     # The JSON key and the seconds feed several fields: compute them once.
     e = e.select("event_id", "user_id", "ts", "event_type", "value",
                  _dropoff_area(F.col("props")).alias("_k"), F.floor(F.col("value") * 10).cast("int").alias("_secs"))
-    j = e.join(c, e.user_id == c.c_custkey)
+    j = skew_safe_join(e, _customers(spark, sf_dir), "user_id", salt_from=["event_id"])
     v, k, secs = F.col("value"), F.col("_k"), F.col("_secs")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
