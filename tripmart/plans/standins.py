@@ -23,6 +23,7 @@ import threading
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -247,14 +248,15 @@ def _build_star(spark: SparkSession, sf_dir: str) -> Star:
     driver threads so they share the cluster instead of queueing: weather,
     areas and dates do not need the trips; the two masters need the trips
     but not each other; the facts need both masters."""
+    job = inheritable_thread_target(spark)   # jobs keep the caller's local properties and tags
     with ThreadPoolExecutor(max_workers=4, thread_name_prefix="star") as pool:
-        wx = pool.submit(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather")))
-        areas = pool.submit(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas")))
-        dates = pool.submit(lambda: _sized(_store(date_dimension(spark), "star-date")))
+        wx = pool.submit(job(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))))
+        areas = pool.submit(job(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas"))))
+        dates = pool.submit(job(lambda: _sized(_store(date_dimension(spark), "star-date"))))
         t = _store(trips(spark, sf_dir), "star-trips")
-        company = pool.submit(lambda: _sized(_store(build_master(t, "company_id", "company"), "star-company")))
-        payment = pool.submit(lambda: _sized(_store(
-            build_master(t, "payment_type_id", "payment_type"), "star-payment-type")))
+        company = pool.submit(job(lambda: _sized(_store(build_master(t, "company_id", "company"), "star-company"))))
+        payment = pool.submit(job(lambda: _sized(_store(
+            build_master(t, "payment_type_id", "payment_type"), "star-payment-type"))))
         company, payment = company.result(), payment.result()
         facts = encode_keys(t, payment, company, sized=True).withColumn(
             "trip_date", trip_date("trip_start_timestamp"))

@@ -24,7 +24,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,11 +118,13 @@ def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_tr
     def batch(df: DataFrame, batch_id: int) -> None:
         trips = clean_trips(df).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # The two masters are independent: grow them as concurrent jobs.
+            # The two masters are independent: grow them as concurrent jobs
+            # (threads inherit the batch's Spark local properties, e.g. its job group).
+            grow = inheritable_thread_target(spark)(_grow)
             with ThreadPoolExecutor(max_workers=2, thread_name_prefix="masters") as pool:
-                company = pool.submit(_grow, spark, trips, company_base, COMPANY_MASTER_SCHEMA,
+                company = pool.submit(grow, spark, trips, company_base, COMPANY_MASTER_SCHEMA,
                                       "company_id", "company", batch_id)
-                payment = pool.submit(_grow, spark, trips, payment_base, PAYMENT_TYPE_MASTER_SCHEMA,
+                payment = pool.submit(grow, spark, trips, payment_base, PAYMENT_TYPE_MASTER_SCHEMA,
                                       "payment_type_id", "payment_type", batch_id)
                 company, payment = company.result(), payment.result()
             facts = encode_keys(trips, payment, company).withColumn(
