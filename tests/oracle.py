@@ -98,11 +98,12 @@ def compare(spark, con, name: str, sf_dir: str, spark_fn, sql: str | None) -> di
 
 
 def main(argv):
+    import os
     sys.path.insert(0, ".")
     import __spark_entry__ as entry
     from tripmart.session import build_session
 
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = os.environ.get("ORACLE_SF", "/root/testdata/sf0.01")
     names = argv[1:]
     import os
     if os.environ.get("PLAIN_SESSION"):
