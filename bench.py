@@ -35,7 +35,12 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="tripmart-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        # Stage and task times for later study (no UI): Spark's event log.
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app="tripmart-bench",
+                          extra=extra)
     spark.read.parquet(f"{sf_dir}/events.parquet").count()          # JVM warm-up, not timed
 
     qs = registry.queries()
