@@ -138,7 +138,7 @@ def describe_text(df: DataFrame, columns) -> DataFrame:
         F.max("n").alias("freq"))
     # A column with no value at all still gets its row (count 0, unique 0);
     # both sides hold one row per requested column.
-    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    names = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in columns])).alias("column_name"))
     return (F.broadcast(names).join(summary, "column_name", "left")
             .select("column_name", F.coalesce("count", F.lit(0).cast("bigint")).alias("count"),
                     F.coalesce("unique", F.lit(0).cast("bigint")).alias("unique"), "top", "freq"))

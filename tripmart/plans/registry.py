@@ -26,6 +26,7 @@ from ..schemas import (PAYMENT_TYPE_MASTER_SCHEMA, PLAYLIST_SCHEMA,
                        RAW_TRIP_FIELDS, TRIP_RENAMES)
 from ..session import scratch_path
 from ..sources import files, html
+from ..sources.literal import literal_rows
 from ..tables import read_table
 from . import sql as sqltext
 from . import standins as si
@@ -246,7 +247,7 @@ def j8_star_join(spark, sf_dir):
 # ---------------------------------------------------------------- dimensions
 
 def _start_master(spark) -> DataFrame:
-    return spark.createDataFrame(START_PAYMENT_MASTER, PAYMENT_TYPE_MASTER_SCHEMA)
+    return literal_rows(spark, START_PAYMENT_MASTER, PAYMENT_TYPE_MASTER_SCHEMA)
 
 
 _START_MASTER_SQL = "m(payment_type_id, payment_type) AS (VALUES (1, 'click'), (2, 'view'))"
@@ -778,7 +779,7 @@ def s4_csv_folder(spark, sf_dir):
     path = scratch_path(spark, "facts-csv-folder")
     s = _star(spark, sf_dir)
     files.write_csv(s.facts.select(*FACT_COLS, "trip_date"), path, partition_by="trip_date")
-    spark.createDataFrame([("not a day file",)], "note string").write.text(f"{path}/notes")
+    spark.range(1).select(F.lit("not a day file").alias("note")).write.text(f"{path}/notes")
     return files.read_csv_folder(spark, path, _facts_schema(spark, sf_dir))
 
 

@@ -141,7 +141,8 @@ def read_master(spark: SparkSession, base: str, schema: StructType | None = None
     except Exception:  # no version written yet: empty master
         if schema is None:
             raise
-        return spark.createDataFrame([], schema)
+        from .literal import literal_rows
+        return literal_rows(spark, [], schema)
     if version is None:
         version = all_versions.agg(F.max("version")).first()[0]
     out = all_versions.where(F.col("version") == version).drop("version")
