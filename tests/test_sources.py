@@ -104,3 +104,12 @@ def test_u2_concat_by_name_missing_columns_null(spark):
     b = spark.createDataFrame([("y", 2, 0.5)], "company string, id int, tips double")
     got = sorted(tuple(r) for r in files.concat_tables([a, b]).select("id", "company", "tips").collect())
     assert got == [(1, "x", None), (2, "y", 0.5)]
+
+
+def test_s14_literal_rows_typed_and_empty(spark):
+    from tripmart.sources import literal_rows
+    df = literal_rows(spark, [(1, "A"), (2, None)], COMPANY_MASTER_SCHEMA)
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "string"]
+    assert sorted(tuple(r) for r in df.collect()) == [(1, "A"), (2, None)]
+    empty = literal_rows(spark, [], COMPANY_MASTER_SCHEMA)
+    assert empty.count() == 0 and empty.columns == ["company_id", "company"]
