@@ -413,17 +413,13 @@ def x8_weather_extras(spark, sf_dir):
 
 # ---------------------------------------------------------------- weather documents
 
-def _weather_documents(spark, sf_dir) -> DataFrame:
-    return si.weather_documents(spark, sf_dir)
-
-
 _WEATHER_ROWS_SQL = with_views(["weather"], """
 SELECT CAST(datetime AS DATE) AS day, datetime, temperature, wind_speed, rain, precipitation FROM weather""")
 
 
 @query("x2_weather_rows", _WEATHER_ROWS_SQL)
 def x2_weather_rows(spark, sf_dir):
-    rows = weather_rows(_weather_documents(spark, sf_dir))
+    rows = weather_rows(si.weather_documents(spark, sf_dir))
     return rows.select("day", "datetime", "temperature", "wind_speed", "rain", "precipitation")
 
 
@@ -433,7 +429,7 @@ def m3_weather_stream(spark, sf_dir):
     file stream into hourly rows partitioned by day."""
     from ..streaming.ingest import run_weather_stream
     landing = scratch_path(spark, "weather-landing")
-    _weather_documents(spark, sf_dir).write.partitionBy("day").json(landing)
+    si.weather_documents(spark, sf_dir).write.partitionBy("day").json(landing)
     out = run_weather_stream(spark, landing, scratch_path(spark, "weather-out"),
                              scratch_path(spark, "weather-ckpt"))
     return out.select("day", "datetime", "temperature", "wind_speed", "rain", "precipitation")
@@ -443,7 +439,7 @@ def m3_weather_stream(spark, sf_dir):
 def s2_weather_json(spark, sf_dir):
     """Weather day documents landed as JSON (one folder per day), read back, unzipped."""
     path = scratch_path(spark, "weather-json")
-    _weather_documents(spark, sf_dir).write.partitionBy("day").json(path)
+    si.weather_documents(spark, sf_dir).write.partitionBy("day").json(path)
     raw = files.read_weather_json(spark, path)
     rows = weather_rows(raw)
     return rows.select("day", "datetime", "temperature", "wind_speed", "rain", "precipitation")
