@@ -109,3 +109,12 @@ def test_x5_date_dimension(spark):
     assert d.count() == 1827
     r = d.where(F.col("date") == F.lit("2024-03-16").cast("date")).first()
     assert (r.year, r.month, r.day, r.day_of_week, r.is_weekend) == (2024, 3, 16, 6, True)
+
+
+def test_build_masters_one_pass_equals_per_column(spark, path):
+    t = _trips(spark, [("B", "Cash"), ("A", "Card"), ("B", "Cash"), (None, "Mobile"), ("C", None)])
+    both = dims.build_masters(t, {"company": "company_id", "payment_type": "payment_type_id"})
+    for value_col, id_col in (("company", "company_id"), ("payment_type", "payment_type_id")):
+        want = sorted(tuple(r) for r in dims.build_master(t, id_col, value_col).collect())
+        assert sorted(tuple(r) for r in both[value_col].collect()) == want
+        assert both[value_col].columns == [id_col, value_col]

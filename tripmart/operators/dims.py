@@ -43,6 +43,31 @@ def build_master(trips: DataFrame, id_col: str, value_col: str,
             .select(id_col, value_col))
 
 
+def build_masters(trips: DataFrame, specs: dict, first_col: str = "trip_start_timestamp") -> dict:
+    """X6 for several text columns at once: ``{value_col: id_col}`` -> ``{value_col: master}``.
+
+    One scan and one shuffle for all masters: rows become (kind, value)
+    pairs, first appearance is found per pair by a map-side combined
+    group-by, the pairs are numbered in (kind, first, value) order and each
+    kind's first position is subtracted (one row per kind — broadcast).
+    Equal to ``build_master`` column by column.
+    """
+    require_columns(trips, list(specs) + [first_col], "trips")
+    for v in specs:
+        if trips.schema[v].dataType.simpleString() != "string":
+            raise TypeError(f"build_masters numbers text columns; {v} is {trips.schema[v].dataType}")
+    pairs = F.explode(F.array(*[F.struct(F.lit(v).alias("_kind"), F.col(v).alias("_value")) for v in specs]))
+    cand = (trips.select(F.col(first_col).alias("_ts"), pairs.alias("_p")).select("_ts", "_p.*")
+            .where(F.col("_value").isNotNull())
+            .groupBy("_kind", "_value").agg(F.min("_ts").alias("_first")))
+    ranked = with_positions(cand, [F.col("_kind"), F.col("_first"), F.col("_value")], out_col="_pos")
+    starts = ranked.groupBy("_kind").agg(F.min("_pos").alias("_start"))
+    numbered = (ranked.join(F.broadcast(starts), "_kind")
+                .withColumn("_id", (F.col("_pos") - F.col("_start") + 1).cast("int")))
+    return {v: numbered.where(F.col("_kind") == v).select(F.col("_id").alias(id_col), F.col("_value").alias(v))
+            for v, id_col in specs.items()}
+
+
 def new_values(trips: DataFrame, master: DataFrame, value_col: str) -> DataFrame:
     """Distinct values of ``trips`` that the master does not hold yet.
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.money import exact_sum
 from ..functions.time import hour_floor, trip_date
 from ..operators._plan import MAX_BROADCAST_ROWS, skew_safe_join
-from ..operators.dims import build_master, date_dimension
+from ..operators.dims import build_masters, date_dimension
 from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
 from ..schemas import RAW_TRIP_FIELDS
@@ -246,17 +246,17 @@ def load_star(spark: SparkSession, sf_dir: str) -> Star:
 def _build_star(spark: SparkSession, sf_dir: str) -> Star:
     """Write the modelled tables.  Independent jobs are submitted from a few
     driver threads so they share the cluster instead of queueing: weather,
-    areas and dates do not need the trips; the two masters need the trips
-    but not each other; the facts need both masters."""
+    areas and dates do not need the trips; both masters come from one pass
+    over the trips and are stored side by side; the facts need both."""
     job = inheritable_thread_target(spark)   # jobs keep the caller's local properties and tags
     with ThreadPoolExecutor(max_workers=4, thread_name_prefix="star") as pool:
         wx = pool.submit(job(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))))
         areas = pool.submit(job(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas"))))
         dates = pool.submit(job(lambda: _sized(_store(date_dimension(spark), "star-date"))))
         t = _store(trips(spark, sf_dir), "star-trips")
-        company = pool.submit(job(lambda: _sized(_store(build_master(t, "company_id", "company"), "star-company"))))
-        payment = pool.submit(job(lambda: _sized(_store(
-            build_master(t, "payment_type_id", "payment_type"), "star-payment-type"))))
+        masters = build_masters(t, {"company": "company_id", "payment_type": "payment_type_id"})
+        company = pool.submit(job(lambda: _sized(_store(masters["company"], "star-company"))))
+        payment = pool.submit(job(lambda: _sized(_store(masters["payment_type"], "star-payment-type"))))
         company, payment = company.result(), payment.result()
         facts = encode_keys(t, payment, company, sized=True).withColumn(
             "trip_date", trip_date("trip_start_timestamp"))
