@@ -232,6 +232,15 @@ def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_trip_json(spark, load_landing(spark, sf_dir)).select(*RAW_TRIP_FIELDS)
 
 
+def _calendar(dates: DataFrame) -> DataFrame:
+    """The date dimension's size follows from its bounds (one row per day),
+    so the broadcast decision needs no count job."""
+    import datetime as dt
+    from ..functions.time import DATE_DIM_END, DATE_DIM_START
+    days = (dt.date.fromisoformat(DATE_DIM_END) - dt.date.fromisoformat(DATE_DIM_START)).days + 1
+    return F.broadcast(dates) if days <= MAX_BROADCAST_ROWS else dates
+
+
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
     """Build (once per session and input folder) and return the stored star."""
     key = (session_key(spark), sf_dir.rstrip("/"))
@@ -252,7 +261,7 @@ def _build_star(spark: SparkSession, sf_dir: str) -> Star:
     with ThreadPoolExecutor(max_workers=4, thread_name_prefix="star") as pool:
         wx = pool.submit(job(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))))
         areas = pool.submit(job(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas"))))
-        dates = pool.submit(job(lambda: _sized(_store(date_dimension(spark), "star-date"))))
+        dates = pool.submit(job(lambda: _calendar(_store(date_dimension(spark), "star-date"))))
         t = _store(trips(spark, sf_dir), "star-trips")
         masters = build_masters(t, {"company": "company_id", "payment_type": "payment_type_id"})
         company = pool.submit(job(lambda: _sized(_store(masters["company"], "star-company"))))
