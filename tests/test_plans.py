@@ -99,3 +99,13 @@ def test_hot_user_is_salted_when_adaptive_skew_handling_is_off(spark):
         assert raw.count() == 10_000 and raw.where(F.col("trip_id").isNull()).count() == 0
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", old)
+
+
+@pytest.mark.parametrize("name", sorted(Q))
+def test_no_python_evaluation_in_any_query(spark, name):
+    """Every registered plan stays in the JVM: no Python UDF evaluation and
+    no scan of a Python-side RDD (what ``createDataFrame(list)`` produces)."""
+    from tests.conftest import SF_SMALL
+    p = _plan(Q[name](spark, SF_SMALL))
+    for marker in ("BatchEvalPython", "ArrowEvalPython", "Scan ExistingRDD", "PythonRDD"):
+        assert marker not in p, (name, marker)
