@@ -96,7 +96,7 @@ def map_texts(docs: DataFrame, fields: str, worker: Callable[[], Callable[[list]
     stay, an empty table gives no rows.
     """
     ship(docs.sparkSession)
-    source = docs.select(*keep, text)
+    source = docs.select(*keep, F.col(text).alias("_whole_text"))
     kept = StructType([source.schema[c] for c in keep])
     out = StructType(kept.fields + StructType.fromDDL(fields).fields)
     names = [f.name for f in StructType.fromDDL(fields)]

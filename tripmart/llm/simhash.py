@@ -189,11 +189,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BIT
     doc_ids one row stays, the one with the smallest hash of its text.
     """
     keep = near_duplicates(docs, shingle, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    left = docs.join(keep, "doc_id", "left_semi")
-    twice = left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"), F.min(F.xxhash64("text")).alias("_h"))
-    again = twice.where("_n > 1").select("doc_id", "_h")
-    marked = left.join(again, "doc_id", "left").where("_h is null or _h = xxhash64(text)")
-    columns = docs.columns
-    single = marked.where("_h is null").select(*columns)
-    repeated = marked.where("_h is not null").select(*columns).dropDuplicates(["doc_id"])
-    return single.unionByName(repeated).unionByName(docs.where("doc_id is null").select(*columns))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
+    left = rows.join(keep, "doc_id", "left_semi")
+    again = (rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("low"))
+             .where("n > 1").select("doc_id", "low"))
+    marked = left.join(again, "doc_id", "left")
+    single = marked.where("low is null").select("row")
+    repeated = marked.where("low = h").dropDuplicates(["doc_id"]).select("row")
+    return single.union(repeated).union(rows.where("doc_id is null").select("row")).select("row.*")
