@@ -15,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmart.llm import bpe, decontaminate, quality, simhash
+from tripmart.llm import bpe, decontaminate, line_dedup, quality, simhash
 from tripmart.llm.common import stage, table
 from tripmart.llm.queries import VOCABULARY
 
@@ -35,6 +35,11 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _filtered(docs, lambda d, keep: quality.judge(d, crf, keep=keep), "kept")
 
 
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that repeat another's; those left without a word go."""
+    return line_dedup.deduplicated(docs).where(F.col("text").rlike(r"\S"))
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component."""
     return simhash.one_of_each(docs)
@@ -53,6 +58,7 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 STAGES = [
     ("quality rules", quality_stage),
+    ("line dedup", line_stage),
     ("SimHash near-dedup", simhash_stage),
     ("benchmark decontamination", decontaminate_stage),
     ("byte-level BPE", encode_stage),

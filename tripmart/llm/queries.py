@@ -8,12 +8,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, quality, simhash, toxicity
+from . import bpe, decontaminate, licenses, line_dedup, quality, sharding, simhash, tool_calls, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.verdicts(table(spark, sf_dir, "documents"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.classes(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -26,6 +34,12 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op6_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY),
                              public_tokenizers.PATTERN)
@@ -35,13 +49,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = tool_calls.calls_of(table(spark, sf_dir, "conversations"))
+    return tool_calls.link(calls, results, tool_calls.SCHEMAS)
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("lang")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_quality_rules, op5_decontaminate, op7_byte_bpe, op8_simhash, op10_toxicity)}
+    return {f.__name__: f for f in (
+        op1_license_scan, op2_line_dedup, op4_quality_rules, op5_decontaminate, op6_minimax_shards,
+        op7_byte_bpe, op8_simhash, op9_tool_calls, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
