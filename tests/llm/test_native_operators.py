@@ -69,9 +69,15 @@ def test_license_spans(spark):
 
 # ---- 2: lines
 
-def _jaccard(a, b, size=line_dedup.SHINGLE):
-    x, y = ({m.group(1) for m in re.finditer(rf"(?=(\S.{{0,{size - 1}}}))\S+", t, re.A)} for t in (a, b))
-    return len(x & y) / len(x | y)
+def _set(line, size=line_dedup.SHINGLE):
+    return {m.group(1) for m in re.finditer(rf"(?=(\S.{{0,{size - 1}}}))\S+", line, re.A)}
+
+
+def _jaccard(x, y):
+    if min(len(x), len(y)) < 0.5 * max(len(x), len(y)):
+        return 0.0
+    shared = len(x & y)
+    return shared / (len(x) + len(y) - shared)
 
 
 def _line_classes(rows, threshold=0.8):
@@ -80,7 +86,7 @@ def _line_classes(rows, threshold=0.8):
     first = {}
     for i, n, line in lines:
         first.setdefault(line, (i, n))
-    comp = brute.components([(at, line) for line, at in first.items()], lambda a, b: _jaccard(a, b) >= threshold)
+    comp = brute.components([(at, _set(line)) for line, at in first.items()], lambda a, b: _jaccard(a, b) >= threshold)
     return sorted((i, n, *comp[first[line]], comp[first[line]] == (i, n)) for i, n, line in lines)
 
 
@@ -107,7 +113,7 @@ def test_lines_against_all_pairs(spark):
     assert sum(a != b for a, b in zip(got, expected)) <= 0.03 * len(got)
     assert {r[:2] for r in expected if r[4]} <= {r[:2] for r in got if r[4]}
     text = {(i, n): x for i, t in rows for n, x in enumerate(t.split("\n"))}
-    assert all(_jaccard(text[a[:2]], text[a[2:4]]) >= 0.5 for a in got)
+    assert all(_jaccard(_set(text[a[:2]]), _set(text[a[2:4]])) >= 0.5 for a in got)
     kept = {r["doc_id"]: r["text"] for r in line_dedup.deduplicated(docs).collect()}
     stays = {r[:2] for r in got if r[4]}
     assert kept == {i: "\n".join(x for n, x in enumerate(t.split("\n")) if (i, n) in stays) for i, t in rows}
