@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, line_dedup, quality, sharding, simhash, tool_calls, toxicity
+from . import bpe, decontaminate, licenses, line_dedup, quality, sharding, simhash, suffix_dedup, tool_calls, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -22,6 +22,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -61,7 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_license_scan, op2_line_dedup, op4_quality_rules, op5_decontaminate, op6_minimax_shards,
+        op1_license_scan, op2_line_dedup, op3_suffix_dedup, op4_quality_rules, op5_decontaminate, op6_minimax_shards,
         op7_byte_bpe, op8_simhash, op9_tool_calls, op10_toxicity)}
 
 
