@@ -8,7 +8,8 @@ a small part of the bytes, without dropping a repeated string:
 1. Sampled start.  Every window of ``size`` bytes is represented by the
    smallest hash of the ``GRAM``-byte strings in it (its anchor).  Consecutive windows
    with one anchor form a run, and equal windows have equal anchors, so runs
-   whose anchor occurs nowhere else, nor twice inside, leave.
+   whose anchor occurs nowhere else, nor twice inside, leave.  A lone run whose
+   anchor occurs twice inside is compared with itself in the task.
 2. Whole runs.  Runs with an anchor and all their bytes in common are repeated
    as they are, whatever their number.
 3. Only the windows of the remaining runs (those at the edge of something
@@ -35,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import ship, stage, utf8
 
 SIZE = 200
-GRAM = 16
+GRAM = 100
 # Window starts a task hashes at once.
 BLOCK = 1 << 18
 
@@ -133,19 +134,41 @@ def _windows_of(texts: DataFrame, size: int) -> DataFrame:
     half = size // 2
     ship(texts.sparkSession)
 
+    def windows(raw: np.ndarray, first: int, last: int, lone: bool) -> Iterator[tuple[np.ndarray, ...]]:
+        for at in range(first, last + 1, last + 1 if lone else BLOCK):
+            n = last + 1 - at if lone else min(BLOCK, last + 1 - at)
+            names, here = Names(raw[at:at + n + size - 1]), np.arange(n)
+            found = [here + at, names.of(here, here + half), names.of(here + half, here + size)]
+            if lone:                                # its windows can only be found in itself
+                order = np.lexsort(found[1:])
+                same = (found[1][order[1:]] == found[1][order[:-1]]) & (found[2][order[1:]] == found[2][order[:-1]])
+                order = order[np.r_[False, same] | np.r_[same, False]]
+                found = [c[order] for c in found]
+            yield tuple(found)
+
+    def packed(rows: list) -> pa.RecordBatch:
+        count = [len(r[2][0]) for r in rows]
+        at, rank, rank_on = (np.concatenate(c) for c in zip(*(r[2] for r in rows)))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.array([r[i] for r in rows]), count)) for i in (0, 1)]
+            + [pa.array(at), pa.array(rank.view("i8")), pa.array(rank_on.view("i8"))],
+            ["t1", "t2", "at", "rank", "rank_on"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t1, t2, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            rows, held = [], 0
+            for i in range(batch.num_rows):
+                t1, t2, text, wanted = (batch.column(c)[i].as_py() for c in range(4))
                 raw = np.frombuffer(utf8(text), "u1")
                 for r in wanted:
-                    for at in range(r["first"], r["first"] + r["more"] + 1, BLOCK):
-                        n = min(BLOCK, r["first"] + r["more"] + 1 - at)
-                        names, here = Names(raw[at:at + n + size - 1]), np.arange(n)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(n, t1)), pa.array(np.full(n, t2)), pa.array(here + at),
-                             pa.array(names.of(here, here + half).view("i8")),
-                             pa.array(names.of(here + half, here + size).view("i8"))],
-                            ["t1", "t2", "at", "rank", "rank_on"])
+                    for w in windows(raw, r["first"], r["first"] + r["more"], r["lone"]):
+                        rows.append((t1, t2, w))
+                        held += len(w[0])
+                        if held > BLOCK:
+                            yield packed(rows)
+                            rows, held = [], 0
+            if rows:
+                yield packed(rows)
 
     return texts.select("t1", "t2", "text", "runs").mapInArrow(
         run, "t1 long, t2 long, at long, rank long, rank_on long")
@@ -162,8 +185,9 @@ def repeated(docs: DataFrame, size: int = SIZE) -> DataFrame:
     marked = stage(kinds.select(
         "t1", "t2", "first", "more", (F.col("n_content") > 1).alias("whole"),
         # Compared one by one: lone runs, and one of those that are repeated whole.
-        ((F.col("place") == 1) & ((F.col("n_content") < F.col("n")) | (F.col("n") == 1))).alias("open")), "byte-runs")
-    wanted = marked.where("open").groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "more")).alias("runs"))
+        ((F.col("place") == 1) & ((F.col("n_content") < F.col("n")) | (F.col("n") == 1))).alias("open"),
+        (F.col("n") == 1).alias("lone")), "byte-runs")
+    wanted = marked.where("open").groupBy("t1", "t2").agg(F.collect_list(F.struct("first", "more", "lone")).alias("runs"))
     texts = named.groupBy("t1", "t2").agg(F.first("text").alias("text"))
     pairs = Window.partitionBy("rank", "rank_on")
     ranked = _windows_of(texts.join(wanted, ["t1", "t2"]), size).withColumn("n", F.count(F.lit(1)).over(pairs))
