@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF_ORACLE
 
-Q = entry.queries()
+Q = registry.queries()
 
 
 def _plan(df) -> str:

@@ -75,3 +75,27 @@ def test_archive_moves_consumed_files(spark):
     local = archive[len("file:"):] if archive.startswith("file:") else archive
     moved = [f for _, _, fs in os.walk(local) for f in fs if f.endswith(".json")]
     assert len(moved) >= 1
+
+
+def test_a_late_file_with_an_old_date_is_read(spark, tmp_dir):
+    import json
+    import os
+    import time
+
+    from tests.conftest import local_file
+    from tripmart.schemas import RAW_TRIP_FIELDS
+    from tripmart.streaming import ingest
+
+    def rows(n):
+        return json.dumps({f: None for f in RAW_TRIP_FIELDS} | {"trip_id": f"t{n}"})
+
+    landing = f"{tmp_dir}/landing"
+    drain = lambda: ingest._trip_source(spark, landing, None, None).select("trip_id").writeStream.format(
+        "parquet").option("path", f"{tmp_dir}/out").option("checkpointLocation", f"{tmp_dir}/ck").trigger(
+        availableNow=True).start().awaitTermination()
+    local_file(landing, "new.json", rows(1))
+    drain()
+    late = local_file(landing, "late.json", rows(2))
+    os.utime(late, (time.time() - 40 * 86400,) * 2)
+    drain()
+    assert sorted(r.trip_id for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == ["t1", "t2"]

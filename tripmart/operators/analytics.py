@@ -151,10 +151,10 @@ def head_tail(df: DataFrame, n: int, order_cols) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, n: int, key_col: str, seed: int = 42) -> DataFrame:
-    """A repeatable sample of ``n`` rows: smallest ``xxhash64(key, seed)``.
+    """A repeatable sample of ``n`` rows: smallest ``md5(key:seed)``.
 
     A hash order is uniform over keys and stable across runs; the top-n
     per task keeps the final merge at n x tasks rows.
     """
-    h = F.xxhash64(F.col(key_col), F.lit(seed))
+    h = F.md5(F.concat_ws(":", F.col(key_col).cast("string"), F.lit(seed)))
     return df.orderBy(h, F.col(key_col)).limit(n)

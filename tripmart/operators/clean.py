@@ -9,8 +9,6 @@ from ..functions.time import hour_floor, parse_timestamp
 from ._plan import with_positions
 from ..schemas import DROPPED_TRIP_FIELDS, RAW_TRIP_FIELDS, TRIP_CAST_TYPES, TRIP_RENAMES, require_columns
 
-# Fixed value: the trip service's row cap per daily request.
-DAILY_ROW_CAP = 30_000
 
 
 def cast_types(df: DataFrame, types: dict | None = None, strict: bool = True) -> DataFrame:
@@ -73,19 +71,14 @@ def null_rows(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 
 
-def capped_slice(df: DataFrame, day: str, cap: int = DAILY_ROW_CAP,
+def capped_slice(df: DataFrame, day: str, cap: int,
                  ts_col: str = "trip_start_timestamp", key_col: str = "trip_id") -> DataFrame:
     """One day, at most ``cap`` rows — the first by time then key (B5:
     the reference's cap takes an unordered subset; here it is explicit).
 
-    The day is counted first (a pruned scan of the time column).  A day
-    within the cap is returned whole, with no sort.  A larger day keeps the
-    rows whose position in (time, key) order is below the cap; positions
-    are computed without a single-partition sort, whereas ``orderBy().limit``
-    would merge ``cap`` rows from every task in one place.
+    The cap is the caller's: there is no default.  Rows whose position in
+    (time, key) order is below it stay; ``orderBy().limit`` would merge
+    ``cap`` rows from every task in one place.
     """
-    sliced = day_slice(df, day, ts_col)
-    if sliced.count() <= cap:
-        return sliced
-    ranked = with_positions(sliced, [F.col(ts_col), F.col(key_col)], out_col="_pos")
+    ranked = with_positions(day_slice(df, day, ts_col), [F.col(ts_col), F.col(key_col)], out_col="_pos")
     return ranked.where(F.col("_pos") < cap).drop("_pos")

@@ -520,14 +520,18 @@ def c2_day_slice(spark, sf_dir):
     return cl.day_slice(facts, SLICE_DAY).select(*FACT_COLS, "trip_date")
 
 
+# Below the rows of the day, so that the cap binds.
+C9_CAP = 100
+
+
 @query("c9_capped_slice", with_views(["facts"], f"""
 SELECT {_FACTS_WITH_DATE} FROM facts
 WHERE trip_start_timestamp >= TIMESTAMP '{SLICE_DAY} 00:00:00'
   AND trip_start_timestamp < TIMESTAMP '{SLICE_DAY} 00:00:00' + INTERVAL 1 DAY
-ORDER BY trip_start_timestamp, trip_id LIMIT {cl.DAILY_ROW_CAP}"""))
+ORDER BY trip_start_timestamp, trip_id LIMIT {C9_CAP}"""))
 def c9_capped_slice(spark, sf_dir):
     facts = _star(spark, sf_dir).facts.where(F.col("trip_date") == F.lit(SLICE_DAY).cast("date"))
-    return cl.capped_slice(facts, SLICE_DAY).select(*FACT_COLS, "trip_date")
+    return cl.capped_slice(facts, SLICE_DAY, C9_CAP).select(*FACT_COLS, "trip_date")
 
 
 def _trips_with_end(spark, sf_dir) -> DataFrame:
@@ -575,9 +579,9 @@ def o4_head_tail(spark, sf_dir):
     return an.head_tail(t, 5, ["trip_start_timestamp", "trip_id"])
 
 
-@query("o5_sample")
+@query("o5_sample", with_views(["trips"], f"""
+SELECT {_cols(TRIP_COLS)} FROM trips ORDER BY md5(CAST(trip_id AS VARCHAR) || ':42'), trip_id LIMIT 100"""))
 def o5_sample(spark, sf_dir):
-    """Repeatable 100-row sample (rows-only check: DuckDB has no xxhash64)."""
     return an.sample_rows(_star(spark, sf_dir).trips.select(*TRIP_COLS), 100, "trip_id")
 
 

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.money import exact_sum
 from ..functions.time import hour_floor, trip_date
 from ..operators._plan import MAX_BROADCAST_ROWS, skew_safe_join
-from ..operators.dims import build_masters, date_dimension
+from ..operators.dims import build_masters, date_dimension_for
 from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
 from ..schemas import RAW_TRIP_FIELDS
@@ -232,15 +232,6 @@ def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_trip_json(spark, load_landing(spark, sf_dir)).select(*RAW_TRIP_FIELDS)
 
 
-def _calendar(dates: DataFrame) -> DataFrame:
-    """The date dimension's size follows from its bounds (one row per day),
-    so the broadcast decision needs no count job."""
-    import datetime as dt
-    from ..functions.time import DATE_DIM_END, DATE_DIM_START
-    days = (dt.date.fromisoformat(DATE_DIM_END) - dt.date.fromisoformat(DATE_DIM_START)).days + 1
-    return F.broadcast(dates) if days <= MAX_BROADCAST_ROWS else dates
-
-
 def load_star(spark: SparkSession, sf_dir: str) -> Star:
     """Build (once per session and input folder) and return the stored star."""
     key = (session_key(spark), sf_dir.rstrip("/"))
@@ -255,14 +246,15 @@ def load_star(spark: SparkSession, sf_dir: str) -> Star:
 def _build_star(spark: SparkSession, sf_dir: str) -> Star:
     """Write the modelled tables.  Independent jobs are submitted from a few
     driver threads so they share the cluster instead of queueing: weather,
-    areas and dates do not need the trips; both masters come from one pass
+    areas do not need the trips; both masters come from one pass
     over the trips and are stored side by side; the facts need both."""
     job = inheritable_thread_target(spark)   # jobs keep the caller's local properties and tags
     with ThreadPoolExecutor(max_workers=4, thread_name_prefix="star") as pool:
         wx = pool.submit(job(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))))
         areas = pool.submit(job(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas"))))
-        dates = pool.submit(job(lambda: _calendar(_store(date_dimension(spark), "star-date"))))
         t = _store(trips(spark, sf_dir), "star-trips")
+        # The calendar spans the trips, whatever their years: the star's inner join loses none.
+        dates = pool.submit(job(lambda: _sized(_store(date_dimension_for(t, "trip_start_timestamp"), "star-date"))))
         masters = build_masters(t, {"company": "company_id", "payment_type": "payment_type_id"})
         company = pool.submit(job(lambda: _sized(_store(masters["company"], "star-company"))))
         payment = pool.submit(job(lambda: _sized(_store(masters["payment_type"], "star-payment-type"))))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.dims import date_dimension
+from ..operators.dims import date_dimension_for
 from ..operators.star import decode_keys
 from ..operators.weather import weather_extras
 from ..schemas import COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA
@@ -46,6 +46,6 @@ def star_from_warehouse(spark: SparkSession, base: str, areas: DataFrame,
     payment = _sized(files.read_master(spark, p["payment_type"], PAYMENT_TYPE_MASTER_SCHEMA))
     weather = _sized(weather_extras(spark.read.parquet(p["weather"]).drop("day")))
     areas = _sized(areas.select("area_code", "community_name"))
-    dates = _sized(date_dim if date_dim is not None else date_dimension(spark))
+    dates = _sized(date_dim if date_dim is not None else date_dimension_for(facts, "trip_start_timestamp"))
     trips = decode_keys(facts, company, payment, sized=True)
     return Star(trips, facts, weather, company, payment, areas, dates)

@@ -72,7 +72,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tripmart-ckpt-")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = tempfile.mkdtemp(prefix="tripmart-ckpt-")      # one machine: tests
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 

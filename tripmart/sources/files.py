@@ -7,6 +7,7 @@ scans filter by file suffix (S5) and treat an empty folder as zero rows (B4).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -133,13 +134,19 @@ def write_master_version(master: DataFrame, base: str, version: int) -> None:
     master.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={int(version)}")
 
 
+def _never_written(error: AnalysisException) -> bool:
+    """No version yet; any other failure must not pass for an empty master,
+    which would number the dimension anew under stored facts."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_master(spark: SparkSession, base: str, schema: StructType | None = None,
                 version: int | None = None) -> DataFrame:
     """The newest (or a given) master version."""
     try:
         all_versions = spark.read.parquet(base)
-    except Exception:  # no version written yet: empty master
-        if schema is None:
+    except AnalysisException as e:
+        if schema is None or not _never_written(e):
             raise
         from .literal import literal_rows
         return literal_rows(spark, [], schema)
@@ -153,6 +160,8 @@ def latest_version(spark: SparkSession, base: str) -> int:
     """Highest stored master version, 0 when none exists."""
     try:
         v = spark.read.parquet(base).agg(F.max("version")).first()[0]
-    except Exception:
+    except AnalysisException as e:
+        if not _never_written(e):
+            raise
         return 0
     return int(v or 0)

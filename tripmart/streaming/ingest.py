@@ -43,8 +43,13 @@ def land_raw_trips(raw: DataFrame, path: str) -> str:
     return path
 
 
+# A landed file is read however old it is: the file source's own limit (seven days
+# behind the newest file seen) would skip late ones without an error.
+MAX_FILE_AGE = "36500d"
+
+
 def _trip_source(spark: SparkSession, landing: str, max_files: int | None, archive_dir: str | None):
-    src = spark.readStream.schema(RAW_TRIP_SCHEMA).option("pathGlobFilter", "*.json")
+    src = spark.readStream.schema(RAW_TRIP_SCHEMA).option("pathGlobFilter", "*.json").option("maxFileAge", MAX_FILE_AGE)
     if max_files:
         src = src.option("maxFilesPerTrigger", max_files)
     if archive_dir:
@@ -71,7 +76,7 @@ def run_trip_stream(spark: SparkSession, landing: str, out_path: str, checkpoint
 def run_weather_stream(spark: SparkSession, landing: str, out_path: str, checkpoint: str,
                        max_files_per_trigger: int | None = None) -> DataFrame:
     """X7 (weather half): weather day documents -> hourly rows, once each."""
-    src = spark.readStream.schema(WEATHER_JSON_SCHEMA).option("pathGlobFilter", "*.json")
+    src = spark.readStream.schema(WEATHER_JSON_SCHEMA).option("pathGlobFilter", "*.json").option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", max_files_per_trigger)
     src = src.json(landing)
