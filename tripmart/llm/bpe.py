@@ -25,7 +25,7 @@ from .common import map_texts
 _MASK = (1 << 64) - 1
 _GOLDEN = 0x9E3779B97F4A7C15
 # Pre-tokens remembered per Python worker before the memory is emptied.
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 400_000
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Entries of a rank file: one ``base64 rank`` pair per line."""
@@ -89,35 +89,34 @@ class Encoder:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.hash = PerfectHash(list(ranks))
         self.rank_at = [ranks[k] for k in self.hash.key_at]
-        self.split = regex.compile(pattern).findall
+        self.split = regex.compile(pattern, regex.V1).findall
         self.known: dict[str, tuple[int, ...]] = {}
 
     def merge(self, piece: bytes) -> list[int]:
         """Lowest-rank merges first (leftmost on ties), over linked bytes."""
-        ranks, n = self.ranks, len(piece)
-        end = list(range(1, n + 1))                 # end[i]: where the part starting at i stops
-        before = list(range(-1, n - 1))             # start of the part before
-        alive = [True] * n
-        heap: list[tuple[int, int, int]] = []
-
-        def offer(i: int) -> None:
-            j = end[i]
-            if j < n and (r := ranks.get(piece[i:end[j]])) is not None:
-                heapq.heappush(heap, (r, i, end[j]))
-
-        for i in range(n - 1):
-            offer(i)
+        ranks, rank, n = self.ranks, self.ranks.get, len(piece)
+        end = list(range(1, n + 1))                 # where the part starting here stops; 0: no part starts here
+        before = list(range(-1, n))                 # start of the part before
+        base = n + 1
+        # A heap entry packs (rank, start, stop) into one integer.
+        heap = [(r * base + i) * base + i + 2 for i in range(n - 1) if (r := rank(piece[i:i + 2])) is not None]
+        heapq.heapify(heap)
+        pop, push = heapq.heappop, heapq.heappush
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            if not alive[i] or end[i] >= n or end[end[i]] != stop:
-                continue
-            alive[end[i]] = False
-            end[i] = stop
+            rest, stop = divmod(pop(heap), base)
+            i = rest % base
+            j = end[i]
+            if not j or j >= n or end[j] != stop:
+                continue                            # a part of this pair has been merged meanwhile
+            end[j], end[i] = 0, stop
             if stop < n:
                 before[stop] = i
-                offer(i)
-            if before[i] >= 0:
-                offer(before[i])
+                to = end[stop]
+                if (r := rank(piece[i:to])) is not None:
+                    push(heap, (r * base + i) * base + to)
+            p = before[i]
+            if p >= 0 and (r := rank(piece[p:stop])) is not None:
+                push(heap, (r * base + p) * base + stop)
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i:end[i]]])
