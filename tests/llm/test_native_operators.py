@@ -136,15 +136,28 @@ def test_line_edges(spark, edge_docs, edge_rows, no_docs):
     assert line_dedup.classes(no_docs).count() == 0 and line_dedup.deduplicated(no_docs).count() == 0
 
 
-def test_heavy_buckets_meet_in_two_levels(spark):
-    bands = [(i, [7, i]) for i in range(4000)]
+def test_buckets_meet_at_their_popular_line(spark):
+    bands = [(i, [7, 10_000 + i]) for i in range(4000)] + [(4000, [7, 10_008, 10_012])]
     sketched = spark.createDataFrame(bands, "id long, bands array<long>")
-    for heavy in (10, 10**9):
-        got = line_dedup.buckets(sketched, heavy=heavy, salts=5).collect()
-        parent = {r["id"]: r["low"] for r in got if r["low"] == 0}
-        low = {r["low"] for r in got}
-        assert {r["id"] for r in got} | {0} == set(range(4000)) and 0 in low
-        assert len(low) <= (5 if heavy == 10 else 1) and len(parent) >= 1
+    got = {(r["bucket"], r["id"], r["low"]) for r in line_dedup.buckets(sketched).collect()}
+    assert got == {(7, i, 4000) for i in range(4000)} | {(10_008, 8, 4000), (10_012, 12, 4000)}
+
+
+def test_further_pairs_leave_out_only_what_cannot_link(spark):
+    """Lines of few shingles, all in one bucket: every similar pair of different components is tried."""
+    rnd = random.Random(11)
+    sets = [(i, rnd.sample(range(24), rnd.randint(6, 14))) for i in range(150)]
+    for i in range(0, 150, 3):                          # a copy, changed in one place
+        sets.append((1000 + i, sets[i][1][1:] + [1000 + i]))
+    table = spark.createDataFrame(sets, "id long, set array<long>")
+    root = {i: i % 7 for i, _ in sets}
+    rows = [(5, r["id"], root[r["id"]], r["n"], r["m"]) for r in line_dedup.sizes_of(table).collect()]
+    members = spark.createDataFrame(rows, "bucket long, id long, root long, n int, m int")
+    got = {(r["id"], r["low"]) for r in line_dedup.further_pairs(members, members, 0.8).collect()}
+    have = {i: set(x) for i, x in sets}
+    similar = {(a, b) for a in have for b in have if a > b and root[a] != root[b] and _jaccard(have[a], have[b]) >= 0.8}
+    assert similar and similar <= got and len(got) < len(sets) ** 2 / 4
+    assert all(root[a] != root[b] for a, b in got)
 
 
 # ---- 6: shards

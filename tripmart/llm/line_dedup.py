@@ -8,14 +8,16 @@ exact Jaccard similarity of the shingle sets is at least ``THRESHOLD``.  A
 distributed union-find makes components, and the line with the smallest
 (doc_id, line number) of each stays.
 
-Within a band's bucket every line is compared with the bucket's smallest line.
-Those not similar to it go on to rounds of their own, with 2, 4, 8, ... lines of
-the bucket to compare with (chosen by hash; a pair must agree on a second band
-there, as 95 % of the pairs at the threshold do), until none is left.  So a bucket
-of similar lines costs one comparison a line, whatever its size, and pairs are
-only made among lines that are not similar to what was tried before.  At the
-threshold itself the bands miss ``(1 - 0.8^3)^7`` = 0.7 % of the pairs, at 0.9
-one in 15,000.
+Within a band's bucket every line is compared with the bucket's most popular line,
+the one whose bands are shared most often: of a family of edited copies that is the
+line they were made from.  These links make components.  A line that is not similar
+to its bucket's popular line then meets the bucket's lines of other components, so
+that no link between two components is missed.  Only lines it can be similar to:
+a shingle that no other line at hand has can't be shared, so the shared part is at
+most the smaller count of such shingles, which bounds the sizes a partner may have;
+the lines meet by bucket and size.  A bucket of copies so costs one comparison a line
+and few more, whatever its size.  At the threshold itself the bands miss
+``(1 - 0.8^3)^7`` = 0.7 % of the pairs, at 0.9 one in 15,000.
 
 Lines without a word are never dropped.  Null texts have no lines.  Rows that
 repeat a doc_id drop and keep their lines alike; a null doc_id counts as the
@@ -27,7 +29,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -37,11 +39,6 @@ SHINGLE = 10
 ROWS = 3
 BANDS = 7
 THRESHOLD = 0.8
-# A bucket with more than this many lines, or more than this share of all bucket
-# rows, is first split by salts, whose smallest lines meet in a second level.
-HEAVY = 10_000
-HEAVY_SHARE = 1 / 20_000
-SALTS = 256
 
 
 def _masks(n: int) -> list[int]:
@@ -99,76 +96,93 @@ def _bucketed(distinct: DataFrame) -> DataFrame:
     return frame
 
 
-def buckets(sketched: DataFrame, heavy: int = HEAVY, salts: int = SALTS) -> DataFrame:
-    """``bucket, id, low``: members of buckets with two lines or more, and the smallest of each.
+def buckets(sketched: DataFrame) -> DataFrame:
+    """``bucket, id, low``: members of buckets with two lines or more, and the most
+    popular line of each (the member itself left out).
 
-    A bucket may hold a third of all lines.  Heavy ones, told by a sample, are
-    split by a salt; the salts' smallest lines then form a bucket themselves.
-    What counts as heavy only decides how the work is dealt, and since each
-    heavy bucket has its share of all rows, there are about 20,000 at most
-    (which bounds the broadcast).
+    Popular: the line's buckets hold the most lines in all; the smallest id decides ties.
+    A bucket may hold a third of all lines: it is only ever aggregated (map-side
+    combined) and joined, which adaptive execution splits.
     """
-    rows = sketched.select("id", F.explode("bands").alias("band"))
-    least = max(heavy, int(sketched.count() * BANDS * HEAVY_SHARE))
-    share = 0.01
-    often = (rows.sample(share, seed=1).groupBy("band").agg(F.count(F.lit(1)).alias("n"))
-             .where(F.col("n") >= least * share).select("band", F.lit(salts).alias("salts")))
-    dealt = rows.join(F.broadcast(often), "band", "left").select(
-        "band", "id", F.coalesce(F.pmod(F.xxhash64("id"), F.col("salts").cast("long")), F.lit(0)).cast("int").alias("salt"),
-        F.col("salts").isNotNull().alias("split"))
-    one = Window.partitionBy("band", "salt")
-    first = stage(dealt.withColumns({"low": F.min("id").over(one), "n": F.count(F.lit(1)).over(one)})
-                  .where("n > 1 or split"), "line-buckets")
-    second = Window.partitionBy("band")
-    reps = first.where("split and id = low").select("band", "id").withColumn("low", F.min("id").over(second))
-    return first.select(F.xxhash64("band", "salt").alias("bucket"), "id", "low").union(
-        reps.select(F.xxhash64("band", F.lit(-1)).alias("bucket"), "id", "low")).where("id != low")
-
-
-def verified(pairs: DataFrame, named: DataFrame, distinct: DataFrame, size: int, threshold: float) -> DataFrame:
-    """``id, low, similar``: exact Jaccard of the two lines' shingle sets for each distinct pair."""
-    wanted = pairs.select("id").union(pairs.select("low")).distinct()
-    text = stage(named.join(wanted, "id", "left_semi").join(distinct, ["h1", "h2"]).select(
+    rows = sketched.select("id", F.explode("bands").alias("bucket"))
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = stage(rows.join(shared, "bucket").groupBy("id").agg(
+        F.sum("n").alias("popular"), F.collect_list("bucket").alias("buckets")).select(
+        "id", "popular", F.explode("buckets").alias("bucket")), "line-buckets")
+    low = members.groupBy("bucket").agg(F.min(F.struct((-F.col("popular")).alias("order"), "id")).alias("low"))
+    return members.join(low.select("bucket", F.col("low.id").alias("low")), "bucket").where(
+        "id != low").select("bucket", "id", "low")
+
+
+def shingle_sets(ids: DataFrame, named: DataFrame, distinct: DataFrame, size: int) -> DataFrame:
+    """``id, set`` (hashes of the line's distinct shingles) for distinct ``ids(id)``."""
+    return stage(named.join(ids, "id", "left_semi").join(distinct, ["h1", "h2"]).select(
         "id", F.transform(F.array_distinct(shingles(F.col("line"), size)), lambda s: F.xxhash64(s)).alias("set")),
         "line-sets")
-    other = text.withColumnsRenamed({"id": "low", "set": "low_set"})
-    both = pairs.join(text, "id").join(other, "low")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``id, low, similar``: exact Jaccard of the two lines' shingle sets for each pair."""
+    other = sets.withColumnsRenamed({"id": "low", "set": "low_set"})
+    both = pairs.join(sets, "id").join(other, "low")
     shared = F.size(F.array_intersect("set", "low_set"))
     return both.select("id", "low", (shared >= F.lit(threshold) * (
         F.size("set") + F.size("low_set") - shared)).alias("similar"))
 
 
+def sizes_of(sets: DataFrame) -> DataFrame:
+    """``id, n, m``: shingles of each line, and how many of them another line of ``sets`` has too."""
+    own = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(
+        F.count(F.lit(1)).alias("lines"), F.min("id").alias("id")).where("lines = 1")
+    single = own.groupBy("id").agg(F.count(F.lit(1)).alias("single"))
+    n = F.size("set")
+    return sets.select("id", n.alias("n")).join(single, "id", "left").select(
+        "id", "n", (F.col("n") - F.coalesce("single", F.lit(0))).cast("int").alias("m"))
+
+
+def further_pairs(unlike: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """Distinct ``id, low``: lines of ``unlike`` with the bucket's other ``members`` (both
+    ``bucket, id, root, n, m``) of other components that may reach ``threshold``.
+
+    Similar lines share at least ``t / (1 + t) * (n + n')`` shingles and at most
+    ``min(m, m')``, which leaves a range of sizes; the bucket's sizes in that
+    range come first, then the lines of each.
+    """
+    t, slack = F.lit(threshold), F.lit(1e-9)
+    least = F.col("n") * t - slack
+    most = F.least(F.col("n") / t, F.col("m") * (1 + t) / t - F.col("n")) + slack
+    sizes = members.select("bucket", F.col("n").alias("size")).distinct()
+    asked = unlike.withColumns({"least": least, "most": most}).where("least <= most").join(
+        sizes, "bucket").where("size >= least and size <= most").drop("least", "most")
+    other = members.select("bucket", F.col("n").alias("size"), F.col("id").alias("low"),
+                           F.col("root").alias("low_root"), F.col("m").alias("low_m"))
+    may = F.col("low_m") * (1 + t) + slack >= t * (F.col("n") + F.col("size"))
+    return asked.join(other, ["bucket", "size"]).where((F.col("root") != F.col("low_root")) & may).select(
+        F.greatest("id", "low").alias("id"), F.least("id", "low").alias("low")).distinct()
+
+
 def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """Verified links ``a, b`` between ids of distinct lines."""
-    def tested(pairs: DataFrame) -> DataFrame:
-        return stage(verified(pairs.select("id", "low").distinct(), named, distinct, size, threshold), "line-pairs")
-
+    """Links ``a, b`` between ids of distinct lines: enough verified ones to connect all that are similar."""
     named = sketched.select("id", "h1", "h2")
-    first = stage(buckets(sketched), "line-members")
-    result = tested(first)
-    links = result.where("similar").select(F.col("id").alias("a"), F.col("low").alias("b"))
-    left = stage(first.join(result.where("not similar"), ["id", "low"]).select("bucket", "id"), "line-left")
-    bands = stage(sketched.join(left.select("id").distinct(), "id", "left_semi").select("id", "bands"), "line-bands")
-    tries = 1
-    while True:
-        tries *= 2
-        sizes = left.groupBy("bucket").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        counted = stage(left.join(sizes, "bucket").join(bands, "id"), "line-left")
-        if not counted.limit(1).count():
-            return links
-        chosen = counted.where((F.col("id") == F.col("first")) | (
-            F.pmod(F.xxhash64("id", "bucket"), F.greatest(F.lit(1).cast("long"), F.expr(f"n div {tries}"))) == 0)).select(
-            "bucket", F.col("id").alias("low"), F.col("bands").alias("low_bands"))
-        agree = F.size(F.array_intersect("bands", "low_bands")) >= 2
-        pairs = stage(counted.join(chosen, "bucket").where(agree & (F.col("id") != F.col("low")))
-                      .select("bucket", "id", "low"), "line-members")
-        result = tested(pairs)
-        links = links.union(result.where("similar").select(F.col("id").alias("a"), F.col("low").alias("b")))
-        alike = pairs.join(result.where("similar"), ["id", "low"]).select("bucket", "id").distinct()
-        tried = chosen.select("bucket", F.col("low").alias("id"))
-        left = stage(counted.select("bucket", "id").join(alike, ["bucket", "id"], "left_anti")
-                     .join(tried, ["bucket", "id"], "left_anti"), "line-left")
+    members = stage(buckets(sketched), "line-members")
+    pairs = members.select("id", "low").distinct()
+    sets = shingle_sets(pairs.select("id").union(pairs.select("low")).distinct(), named, distinct, size)
+    result = stage(verified(pairs, sets, threshold), "line-pairs")
+    roots = stage(connected_components(result.where("similar").select(
+        F.col("id").alias("a"), F.col("low").alias("b"))), "line-roots")
+    told = stage(members.join(result, ["id", "low"]).select("bucket", "id", "similar"), "line-told")
+    open_ = told.groupBy("bucket").agg(F.bool_and("similar").alias("done"), F.count(F.lit(1)).alias("others")).where(
+        "not done and others > 1").select("bucket")
+    left = stage(told.join(open_, "bucket"), "line-left")
+    at_hand = stage(sizes_of(sets.join(left.select("id").distinct(), "id", "left_semi")), "line-sizes")
+    known = at_hand.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "n", "m", F.coalesce("root", "id").alias("root"))
+    left = stage(left.join(known, "id"), "line-left")
+    more = stage(further_pairs(left.where("not similar").drop("similar"), left.drop("similar"), threshold),
+                 "line-further")
+    linked = stage(verified(more, sets, threshold).where("similar"), "line-pairs")
+    return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(linked.select("id", "low"))
 
 
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
