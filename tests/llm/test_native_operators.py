@@ -144,18 +144,19 @@ def test_buckets_meet_at_their_popular_line(spark):
 
 
 def test_further_pairs_leave_out_only_what_cannot_link(spark):
-    """Lines of few shingles, all in one bucket: every similar pair of different components is tried."""
+    """Lines of few shingles: every similar pair of different components with an unlike line is tried."""
     rnd = random.Random(11)
     sets = [(i, rnd.sample(range(24), rnd.randint(6, 14))) for i in range(150)]
     for i in range(0, 150, 3):                          # a copy, changed in one place
         sets.append((1000 + i, sets[i][1][1:] + [1000 + i]))
     table = spark.createDataFrame(sets, "id long, set array<long>")
     root = {i: i % 7 for i, _ in sets}
-    rows = [(5, r["id"], root[r["id"]], r["n"], r["m"]) for r in line_dedup.sizes_of(table).collect()]
-    members = spark.createDataFrame(rows, "bucket long, id long, root long, n int, m int")
-    got = {(r["id"], r["low"]) for r in line_dedup.further_pairs(members, members, 0.8).collect()}
+    known = spark.createDataFrame([(i, r, i % 2 == 0) for i, r in root.items()], "id long, root int, unlike boolean")
+    places = line_dedup.prefixes(table, 0.8).join(known, "id")
+    got = {(r["id"], r["low"]) for r in line_dedup.further_pairs(places, 0.8).collect()}
     have = {i: set(x) for i, x in sets}
-    similar = {(a, b) for a in have for b in have if a > b and root[a] != root[b] and _jaccard(have[a], have[b]) >= 0.8}
+    similar = {(a, b) for a in have for b in have if a > b and root[a] != root[b] and not a % 2 * b % 2
+               and _jaccard(have[a], have[b]) >= 0.8}
     assert similar and similar <= got and len(got) < len(sets) ** 2 / 4
     assert all(root[a] != root[b] for a, b in got)
 

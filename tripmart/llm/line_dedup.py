@@ -11,13 +11,14 @@ distributed union-find makes components, and the line with the smallest
 Within a band's bucket every line is compared with the bucket's most popular line,
 the one whose bands are shared most often: of a family of edited copies that is the
 line they were made from.  These links make components.  A line that is not similar
-to its bucket's popular line then meets the bucket's lines of other components, so
-that no link between two components is missed.  Only lines it can be similar to:
-a shingle that no other line at hand has can't be shared, so the shared part is at
-most the smaller count of such shingles, which bounds the sizes a partner may have;
-the lines meet by bucket and size.  A bucket of copies so costs one comparison a line
-and few more, whatever its size.  At the threshold itself the bands miss
-``(1 - 0.8^3)^7`` = 0.7 % of the pairs, at 0.9 one in 15,000.
+to its bucket's popular line then meets the lines of other components in such
+buckets, so that no link between two components is missed, by a prefix filter:
+similar sets share one of the rarest shingles of each, and the more sizes are alike
+the fewer of these need a look.  What an edited copy shares with the line it was
+made from is common, hence last, so copies meet only where they share an edit: a
+bucket costs one comparison a line and few more, whatever its size.  At the
+threshold itself the bands miss ``(1 - 0.8^3)^7`` = 0.7 % of the pairs, at 0.9 one
+in 15,000.
 
 Lines without a word are never dropped.  Null texts have no lines.  Rows that
 repeat a doc_id drop and keep their lines alike; a null doc_id counts as the
@@ -39,6 +40,7 @@ SHINGLE = 10
 ROWS = 3
 BANDS = 7
 THRESHOLD = 0.8
+SLACK = 1e-9                # bounds on counts stay safe from rounding
 
 
 def _masks(n: int) -> list[int]:
@@ -130,34 +132,42 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         F.size("set") + F.size("low_set") - shared)).alias("similar"))
 
 
-def sizes_of(sets: DataFrame) -> DataFrame:
-    """``id, n, m``: shingles of each line, and how many of them another line of ``sets`` has too."""
-    own = sets.select("id", F.explode("set").alias("s")).groupBy("s").agg(
-        F.count(F.lit(1)).alias("lines"), F.min("id").alias("id")).where("lines = 1")
-    single = own.groupBy("id").agg(F.count(F.lit(1)).alias("single"))
-    n = F.size("set")
-    return sets.select("id", n.alias("n")).join(single, "id", "left").select(
-        "id", "n", (F.col("n") - F.coalesce("single", F.lit(0))).cast("int").alias("m"))
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id, n, s, at``: the shingles of each line, rarest first, that a similar line may
+    share first, their places in that order and the line's number of shingles.
 
-
-def further_pairs(unlike: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """Distinct ``id, low``: lines of ``unlike`` with the bucket's other ``members`` (both
-    ``bucket, id, root, n, m``) of other components that may reach ``threshold``.
-
-    Similar lines share at least ``t / (1 + t) * (n + n')`` shingles and at most
-    ``min(m, m')``, which leaves a range of sizes; the bucket's sizes in that
-    range come first, then the lines of each.
+    Shingles that no other line of ``sets`` has count for the places only.
+    """
+    each = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("s"))
+    often = each.groupBy("s").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
+    ordered = each.join(often, "s").groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("lines", "s"))).alias("common"))
+    single = F.col("n") - F.size("common")
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - SLACK).cast("int") + 1
+    return ordered.withColumn("single", single).where(length > single).select(
+        "id", "n", "single", F.posexplode(F.slice("common", F.lit(1), length - single)).alias("i", "c")).select(
+        "id", "n", F.col("c.s").alias("s"), (F.col("single") + F.col("i")).alias("at"))
+
+
+def further_pairs(places: DataFrame, threshold: float) -> DataFrame:
+    """Distinct ``id, low``: lines told ``unlike`` and lines of other components that may
+    reach ``threshold``; ``places`` as of ``prefixes`` with ``root`` and ``unlike``.
+
+    Lines of n and n' shingles are similar if they share ``t / (1 + t) * (n + n')`` at
+    least.  If the first they share is at some place, only those from there on can be
+    shared: that bounds n' from each place of a line.  So a line asks each shingle
+    for the sizes that hold it, then for the lines of the sizes within bounds.
     """
-    t, slack = F.lit(threshold), F.lit(1e-9)
-    least = F.col("n") * t - slack
-    most = F.least(F.col("n") / t, F.col("m") * (1 + t) / t - F.col("n")) + slack
-    sizes = members.select("bucket", F.col("n").alias("size")).distinct()
-    asked = unlike.withColumns({"least": least, "most": most}).where("least <= most").join(
-        sizes, "bucket").where("size >= least and size <= most").drop("least", "most")
-    other = members.select("bucket", F.col("n").alias("size"), F.col("id").alias("low"),
-                           F.col("root").alias("low_root"), F.col("m").alias("low_m"))
-    may = F.col("low_m") * (1 + t) + slack >= t * (F.col("n") + F.col("size"))
-    return asked.join(other, ["bucket", "size"]).where((F.col("root") != F.col("low_root")) & may).select(
+    t = F.lit(threshold)
+    n = F.col("n")
+    most = F.least(n / t, (n - F.col("at")) * (1 + t) / t - n) + SLACK
+    sizes = places.select("s", F.col("n").alias("size")).distinct()
+    asked = places.where("unlike").select("id", "root", "n", "s", (n * t - SLACK).alias("least"), most.alias("most"))
+    wanted = asked.where("least <= most").join(sizes, "s").where("size >= least and size <= most")
+    other = places.select("s", F.col("n").alias("size"), F.col("id").alias("low"),
+                          F.col("root").alias("low_root"), F.col("at").alias("low_at"))
+    may = (F.col("size") - F.col("low_at")) * (1 + t) + SLACK >= t * (n + F.col("size"))
+    return wanted.join(other, ["s", "size"]).where((F.col("root") != F.col("low_root")) & may).select(
         F.greatest("id", "low").alias("id"), F.least("id", "low").alias("low")).distinct()
 
 
@@ -174,13 +184,11 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
     told = stage(members.join(result, ["id", "low"]).select("bucket", "id", "similar"), "line-told")
     open_ = told.groupBy("bucket").agg(F.bool_and("similar").alias("done"), F.count(F.lit(1)).alias("others")).where(
         "not done and others > 1").select("bucket")
-    left = stage(told.join(open_, "bucket"), "line-left")
-    at_hand = stage(sizes_of(sets.join(left.select("id").distinct(), "id", "left_semi")), "line-sizes")
-    known = at_hand.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "n", "m", F.coalesce("root", "id").alias("root"))
-    left = stage(left.join(known, "id"), "line-left")
-    more = stage(further_pairs(left.where("not similar").drop("similar"), left.drop("similar"), threshold),
-                 "line-further")
+    left = stage(told.join(open_, "bucket").groupBy("id").agg((~F.bool_and("similar")).alias("unlike")), "line-left")
+    known = left.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "unlike", F.coalesce("root", "id").alias("root"))
+    places = stage(prefixes(sets.join(left, "id", "left_semi"), threshold).join(known, "id"), "line-places")
+    more = stage(further_pairs(places, threshold), "line-further")
     linked = stage(verified(more, sets, threshold).where("similar"), "line-pairs")
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(linked.select("id", "low"))
 
