@@ -152,7 +152,7 @@ def test_further_pairs_leave_out_only_what_cannot_link(spark):
     table = spark.createDataFrame(sets, "id long, set array<long>")
     root = {i: i % 7 for i, _ in sets}
     known = spark.createDataFrame([(i, r, i % 2 == 0) for i, r in root.items()], "id long, root int, unlike boolean")
-    places = line_dedup.prefixes(table, 0.8).join(known, "id")
+    places = line_dedup.prefixes(table, 0.8).join(known, "id").join(line_dedup.parities(table), "id")
     got = {(r["id"], r["low"]) for r in line_dedup.further_pairs(places, 0.8).collect()}
     have = {i: set(x) for i, x in sets}
     similar = {(a, b) for a in have for b in have if a > b and root[a] != root[b] and not a % 2 * b % 2

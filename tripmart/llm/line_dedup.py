@@ -40,6 +40,7 @@ SHINGLE = 10
 ROWS = 3
 BANDS = 7
 THRESHOLD = 0.8
+WORDS = 4                   # longs of parities that a line is told apart by
 SLACK = 1e-9                # bounds on counts stay safe from rounding
 
 
@@ -69,12 +70,13 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def sketches(lines: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Distinct lines ``(h1, h2, line)`` and, for each, ``(h1, h2, id, bands)``.
+    """Distinct lines ``(h1, h2, line, first)``, first being their first place, and, for each, ``(h1, h2, id, bands)``.
 
     The distinct lines are written in buckets of (h1, h2): what groups or joins
     them by that name later needs no further exchange of texts.
     """
-    distinct = _bucketed(lines.groupBy("h1", "h2").agg(F.first("line").alias("line")))
+    distinct = _bucketed(lines.groupBy("h1", "h2").agg(
+        F.first("line").alias("line"), F.min(F.struct("doc_id", "line_no")).alias("first")))
     hashes = distinct.select("h1", "h2", F.explode(shingles(F.col("line"), size)).alias("s")).select(
         "h1", "h2", F.xxhash64("s").alias("s"))
     masks = _masks(ROWS * BANDS)
@@ -149,25 +151,40 @@ def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
         "id", "n", F.col("c.s").alias("s"), (F.col("single") + F.col("i")).alias("at"))
 
 
+def parities(sets: DataFrame) -> DataFrame:
+    """``id, odd``: for each of 64 ``WORDS`` bits whether an odd number of the line's
+    shingles falls on it.  Two lines differ in as many shingles at least as in bits."""
+    def word(k: int) -> Column:
+        return F.aggregate("set", F.lit(0).cast("long"), lambda odd, s: F.when(
+            F.pmod(F.shiftright(s, 6), F.lit(WORDS)) == k, odd.bitwiseXOR(F.call_function(
+                "shiftleft", F.lit(1).cast("long"), s.bitwiseAND(F.lit(63)).cast("int")))).otherwise(odd))
+
+    return sets.select("id", F.array(*[word(k) for k in range(WORDS)]).alias("odd"))
+
+
 def further_pairs(places: DataFrame, threshold: float) -> DataFrame:
     """Distinct ``id, low``: lines told ``unlike`` and lines of other components that may
-    reach ``threshold``; ``places`` as of ``prefixes`` with ``root`` and ``unlike``.
+    reach ``threshold``; ``places`` as of ``prefixes`` with ``root``, ``unlike``
+    and ``odd``.
 
     Lines of n and n' shingles are similar if they share ``t / (1 + t) * (n + n')`` at
     least.  If the first they share is at some place, only those from there on can be
     shared: that bounds n' from each place of a line.  So a line asks each shingle
-    for the sizes that hold it, then for the lines of the sizes within bounds.
+    for the sizes that hold it, then for the lines of the sizes within bounds.  Lines
+    that differ in more parities than similar ones can differ in shingles are left out.
     """
     t = F.lit(threshold)
     n = F.col("n")
     most = F.least(n / t, (n - F.col("at")) * (1 + t) / t - n) + SLACK
     sizes = places.select("s", F.col("n").alias("size")).distinct()
-    asked = places.where("unlike").select("id", "root", "n", "s", (n * t - SLACK).alias("least"), most.alias("most"))
+    asked = places.where("unlike").select("id", "root", "n", "s", "odd", (n * t - SLACK).alias("least"), most.alias("most"))
     wanted = asked.where("least <= most").join(sizes, "s").where("size >= least and size <= most")
     other = places.select("s", F.col("n").alias("size"), F.col("id").alias("low"),
-                          F.col("root").alias("low_root"), F.col("at").alias("low_at"))
+                          F.col("root").alias("low_root"), F.col("at").alias("low_at"), F.col("odd").alias("low_odd"))
+    differ = sum((F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("low_odd")[k])) for k in range(WORDS)), F.lit(0))
+    close = differ * (1 + t) <= (n + F.col("size")) * (1 - t) + SLACK
     may = (F.col("size") - F.col("low_at")) * (1 + t) + SLACK >= t * (n + F.col("size"))
-    return wanted.join(other, ["s", "size"]).where((F.col("root") != F.col("low_root")) & may).select(
+    return wanted.join(other, ["s", "size"]).where((F.col("root") != F.col("low_root")) & may & close).select(
         F.greatest("id", "low").alias("id"), F.least("id", "low").alias("low")).distinct()
 
 
@@ -187,7 +204,8 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
     left = stage(told.join(open_, "bucket").groupBy("id").agg((~F.bool_and("similar")).alias("unlike")), "line-left")
     known = left.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "unlike", F.coalesce("root", "id").alias("root"))
-    places = stage(prefixes(sets.join(left, "id", "left_semi"), threshold).join(known, "id"), "line-places")
+    at_hand = sets.join(left, "id", "left_semi")
+    places = stage(prefixes(at_hand, threshold).join(known.join(parities(at_hand), "id"), "id"), "line-places")
     more = stage(further_pairs(places, threshold), "line-further")
     linked = stage(verified(more, sets, threshold).where("similar"), "line-pairs")
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(linked.select("id", "low"))
@@ -200,7 +218,7 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD)
     distinct, sketched = sketches(lines, size)
     roots = connected_components(similar_lines(sketched, distinct, size, threshold))
     near = sketched.join(roots.withColumnRenamed("node", "id"), "id").select("h1", "h2", "root")
-    first = stage(lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first")), "line-firsts")
+    first = distinct.select("h1", "h2", "first")
     linked = first.join(near, ["h1", "h2"])
     lowest = linked.groupBy("root").agg(F.min("first").alias("low"))
     moved = linked.join(lowest, "root").select("h1", "h2", "low")
