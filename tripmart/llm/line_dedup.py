@@ -1,7 +1,7 @@
 """Operator 2: fuzzy line dedup by MinHash.
 
-A line's shingles are the ``SHINGLE`` characters from each word's start on (they
-overlap where words are shorter); a line without a whole one is its own.  Equal
+A line's shingles are the ``SHINGLE`` characters from each of its characters on;
+a line without a whole one is its own.  Equal
 lines collapse first.  Every distinct line gets ``BANDS * ROWS`` minima of its
 shingle hashes, each in an order of its own; lines that agree on a whole band are compared, and a pair links when the
 exact Jaccard similarity of the shingle sets is at least ``THRESHOLD``.  A
@@ -40,6 +40,7 @@ SHINGLE = 10
 ROWS = 3
 BANDS = 7
 THRESHOLD = 0.8
+PIECE = 32                  # places of a line whose shingles are cut from one piece
 WORDS = 4                   # longs of parities that a line is told apart by
 SLACK = 1e-9                # bounds on counts stay safe from rounding
 
@@ -49,9 +50,15 @@ def _masks(n: int) -> list[int]:
 
 
 def shingles(line: Column, size: int = SHINGLE) -> Column:
-    """``size`` characters from the start of each word on, as far as the line has them; else the line."""
-    found = F.regexp_extract_all(line, F.lit(rf"(?=(\S.{{{size - 1}}}))\S+"), F.lit(1))
-    return F.when(F.size(found) > 0, found).otherwise(F.array(line))
+    """``size`` characters from every character on, as far as the line has them; else the line.
+
+    Finding a place in UTF-8 walks there from the start, so a line is cut into
+    pieces first: the cost stays linear in the line.
+    """
+    pieces = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{size},{PIECE + size - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+    found = F.flatten(F.transform(pieces, lambda p: F.transform(
+        F.sequence(F.lit(1), F.length(p) - (size - 1)), lambda i: F.substring(p, i, F.lit(size)))))
+    return F.when(F.size(pieces) > 0, found).otherwise(F.array(line))
 
 
 def _minimum(r: int, mask: int) -> Column:
