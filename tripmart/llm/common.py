@@ -53,15 +53,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write below the shared checkpoint folder and read back: a lost executor
     then costs a re-read, and row ids made before the write stay fixed."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.parquet(path)
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row, doc`` (all columns as a struct): an id for every row, fixed by the write,
+    that tells apart rows of one doc_id and rows without any."""
+    return stage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[f"`{c}`" for c in docs.columns])
+                             .alias("doc")), "numbered", compression="zstd")
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -6,7 +6,7 @@ lines collapse first.  Every distinct line gets ``BANDS * ROWS`` minima of its
 shingle hashes, each in an order of its own; lines that agree on a whole band are compared, and a pair links when the
 exact Jaccard similarity of the shingle sets is at least ``THRESHOLD``.  A
 distributed union-find makes components, and the line with the smallest
-(doc_id, line number) of each stays.
+(doc_id, line number, row) of each stays.
 
 Within a band's bucket every line is compared with the bucket's most popular line,
 the one whose bands are shared most often: of a family of edited copies that is the
@@ -20,9 +20,9 @@ bucket costs one comparison a line and few more, whatever its size.  At the
 threshold itself the bands miss ``(1 - 0.8^3)^7`` = 0.7 % of the pairs, at 0.9 one
 in 15,000.
 
-Lines without a word are never dropped.  Null texts have no lines.  Rows that
-repeat a doc_id drop and keep their lines alike; a null doc_id counts as the
-smallest.
+Lines without a word are never dropped.  Null texts have no lines.  Every row has
+an id of its own, by which lines are dropped: rows that repeat a doc_id or have
+none lose only their own.  A null doc_id counts as the smallest.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from .common import connected_components, stage
+from .common import connected_components, numbered, stage
 
 SHINGLE = 10
 ROWS = 3
@@ -69,9 +69,9 @@ def _minimum(r: int, mask: int) -> Column:
     return F.min(turned.bitwiseXOR(F.lit(mask)))
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, line_no, line``, h1, h2 (128 bits that name the line), for lines with a word."""
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def lines_of(rows: DataFrame) -> DataFrame:
+    """``row, doc_id, line_no, line``, h1, h2 (128 bits that name the line), for lines with a word."""
+    lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return lines.where(F.col("line").rlike(r"\S")).withColumns(
         {"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
 
@@ -83,7 +83,7 @@ def sketches(lines: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFram
     them by that name later needs no further exchange of texts.
     """
     distinct = _bucketed(lines.groupBy("h1", "h2").agg(
-        F.first("line").alias("line"), F.min(F.struct("doc_id", "line_no")).alias("first")))
+        F.first("line").alias("line"), F.min(F.struct("doc_id", "line_no", "row")).alias("first")))
     hashes = distinct.select("h1", "h2", F.explode(shingles(F.col("line"), size)).alias("s")).select(
         "h1", "h2", F.xxhash64("s").alias("s"))
     masks = _masks(ROWS * BANDS)
@@ -220,8 +220,13 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
 
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, line_no, class_doc, class_line, kept`` of every line with a word: its
-    class is named by the class's smallest (doc_id, line_no), which is the one kept."""
-    lines = lines_of(docs)
+    class is named by the class's smallest (doc_id, line_no); of rows that share it one keeps the line."""
+    return row_classes(numbered(docs.select("doc_id", "text")), size, threshold).drop("row")
+
+
+def row_classes(rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
+    """``row`` and the columns of ``classes`` for rows as of ``numbered``."""
+    lines = lines_of(rows.select("row", "doc.doc_id", "doc.text"))
     distinct, sketched = sketches(lines, size)
     roots = connected_components(similar_lines(sketched, distinct, size, threshold))
     near = sketched.join(roots.withColumnRenamed("node", "id"), "id").select("h1", "h2", "root")
@@ -230,25 +235,25 @@ def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD)
     lowest = linked.groupBy("root").agg(F.min("first").alias("low"))
     moved = linked.join(lowest, "root").select("h1", "h2", "low")
     named = first.join(moved, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("low", "first").alias("low"))
-    every = lines.select("doc_id", "line_no", "h1", "h2").join(named, ["h1", "h2"])
-    return every.select("doc_id", "line_no", F.col("low.doc_id").alias("class_doc"),
+    every = lines.select("row", "doc_id", "line_no", "h1", "h2").join(named, ["h1", "h2"])
+    return every.select("row", "doc_id", "line_no", F.col("low.doc_id").alias("class_doc"),
                         F.col("low.line_no").alias("class_line"),
-                        (F.col("low.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("low.line_no") == F.col("line_no")))
+                        ((F.col("low.row") == F.col("row")) & (F.col("low.line_no") == F.col("line_no")))
                         .alias("kept"))
 
 
 def deduplicated(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with the dropped lines taken out of ``text``; all rows and columns stay.
 
-    Drops are gathered per document as line numbers (at most its own lines);
+    Drops are gathered per row as line numbers (at most its own lines);
     rows without drops keep their text as it is, nulls included.
     """
-    drops = classes(docs, size, threshold).where("not kept").groupBy("doc_id").agg(
+    rows = numbered(docs)
+    drops = row_classes(rows, size, threshold).where("not kept").groupBy("row").agg(
         F.collect_set("line_no").alias("gone"))
-    rows = docs.select("doc_id", F.struct(*[f"`{c}`" for c in docs.columns]).alias("row")).alias("d")
-    joined = rows.join(drops.alias("x"), F.col("d.doc_id").eqNullSafe(F.col("x.doc_id")), "left")
+    joined = rows.join(drops, "row", "left")
     at = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
     kept = F.array_join(F.transform(at, lambda i: F.get("lines", i)), "\n")
-    return joined.withColumn("lines", F.split("row.text", "\n")).withColumn(
-        "kept", F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(kept)).select(
-        *[F.col("kept").alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    return joined.withColumn("lines", F.split("doc.text", "\n")).withColumn(
+        "kept", F.when(F.col("gone").isNull(), F.col("doc.text")).otherwise(kept)).select(
+        *[F.col("kept").alias(c) if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])

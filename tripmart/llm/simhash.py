@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, map_texts, ship, split_rows, stage, utf8
+from .common import connected_components, map_texts, numbered, ship, split_rows, stage, utf8
 
 SEED = 42
 SHINGLE = 3
@@ -169,31 +169,33 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, un
     return split_rows(dealt, *keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest
-    doc_id that links reach, for every row of ``docs``."""
-    rows = stage(fingerprints(docs, shingle), "fingerprints")
+def components(docs: DataFrame, shingle: int, max_bits: int, keep: tuple[str, ...]) -> DataFrame:
+    """``keep`` columns, ``fp``, ``root`` (the component's smallest fingerprint) and
+    ``component_id``, for every row of ``docs``."""
+    rows = stage(fingerprints(docs, shingle, keep), "fingerprints")
     nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "fingerprint-nodes")
     roots = connected_components(links(nodes.select("fp"), max_bits)).withColumnsRenamed({"node": "fp"})
     member = nodes.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = member.join(lowest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select(
+    named = member.join(lowest, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``doc_id, fingerprint`` (16 hex digits) and ``component_id``, the smallest
+    doc_id that links reach, for every row of ``docs``."""
+    return components(docs, shingle, max_bits, ("doc_id",)).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row per component: that of the smallest doc_id.
+    """``docs`` with one row per component: the first by (doc_id, row).
 
-    Rows with a null doc_id stay (they can't be told apart); of repeated
-    doc_ids one row stays, the one with the smallest hash of its text.
+    Rows are told apart by an id of their own, not by doc_id.  Of a component's
+    rows with a null doc_id the first stays as well.
     """
-    keep = near_duplicates(docs, shingle, max_bits).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.select("doc_id", F.xxhash64("text").alias("h"), F.struct(*[f"`{c}`" for c in docs.columns]).alias("row"))
-    left = rows.join(keep, "doc_id", "left_semi")
-    again = (rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("low"))
-             .where("n > 1").select("doc_id", "low"))
-    marked = left.join(again, "doc_id", "left")
-    single = marked.where("low is null").select("row")
-    repeated = marked.where("low = h").dropDuplicates(["doc_id"]).select("row")
-    return single.union(repeated).union(rows.where("doc_id is null").select("row")).select("row.*")
+    rows = numbered(docs)
+    found = components(rows.select("row", "doc.doc_id", "doc.text"), shingle, max_bits, ("row", "doc_id"))
+    keep = found.groupBy("root", F.col("doc_id").isNull().alias("unnamed")).agg(
+        F.min(F.struct("doc_id", "row")).alias("low")).select("low.row")
+    return rows.join(keep, "row", "left_semi").select("doc.*")
