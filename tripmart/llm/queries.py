@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, licenses, line_dedup, quality, sharding, simhash, suffix_dedup, tool_calls, toxicity
+from . import bpe, decontaminate, jaccard_join, licenses, line_dedup, quality, sharding, simhash, suffix_dedup, tool_calls, toxicity
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -63,10 +63,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"))).drop("lang")
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_line_dedup, op3_suffix_dedup, op4_quality_rules, op5_decontaminate, op6_minimax_shards,
-        op7_byte_bpe, op8_simhash, op9_tool_calls, op10_toxicity)}
+        op7_byte_bpe, op8_simhash, op9_tool_calls, op10_toxicity, op11_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
