@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, jaccard_join, licenses, line_dedup, quality, sharding, simhash, suffix_dedup, tool_calls, toxicity
+from . import (bpe, collocations, decontaminate, hard_negatives, jaccard_join, licenses, line_dedup, oracles, quality,
+               sharding, simhash, suffix_dedup, tool_calls, toxicity)
 from .common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -67,11 +68,20 @@ def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_license_scan, op2_line_dedup, op3_suffix_dedup, op4_quality_rules, op5_decontaminate, op6_minimax_shards,
-        op7_byte_bpe, op8_simhash, op9_tool_calls, op10_toxicity, op11_jaccard_join)}
+        op7_byte_bpe, op8_simhash, op9_tool_calls, op10_toxicity, op11_jaccard_join,
+        op12_collocations, op13_hard_negatives)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_jaccard_join": oracles.OP11, "op12_collocations": oracles.OP12, "op13_hard_negatives": oracles.OP13}
