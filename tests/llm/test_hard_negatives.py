@@ -74,20 +74,24 @@ def test_descent_skips_nodes_and_is_exact():
         if children:
             parts = tree.nodes[first:first + children]
             assert parts[0][0] == low and parts[-1][1] == high and (parts[1:, 0] == parts[:-1, 1]).all()
-    verified = 0
+    block = []
     for q in range(0, 3000, 100):
         scores = points @ points[q]
-        window = (int(np.quantile(scores, 0.2)), int(np.quantile(scores, 0.7)))
-        best = [[]]
-        verified += back.search(q, int(labels[q]), False, points[q], [window], best, 10)
-        fit = sorted((-s, i) for i, s in enumerate(scores.tolist()) if labels[i] != labels[q] and window[0] <= s <= window[1])
-        assert [(-s, -i) for s, i in best[0]] == fit[:10]
-    assert verified < 0.3 * leaves * 30
+        low, middle, high = np.quantile(scores, (0.2, 0.5, 0.7)).astype("i8").tolist()
+        block.append((q, int(labels[q]), points[q].tolist(), [(low, high), (low, middle)][:1 + q // 100 % 2]))
+    asked = hard_negatives.Asked(block, 10)
+    verified = back.search(asked, False)
+    a, w, score, name = (c.tolist() for c in asked.found())
+    for i, (q, label, x, windows) in enumerate(block):
+        for n, (low, high) in enumerate(windows):
+            fit = sorted((-s, j) for j, s in enumerate((points @ points[q]).tolist()) if labels[j] != label and low <= s <= high)
+            assert [(-s, j) for f, g, s, j in zip(a, w, score, name) if (f, g) == (i, n)] == fit[:10]
+    assert verified < 0.3 * leaves * len(block)
 
 
 def test_large_components_stay_exact():
     points = np.array([[1 << 30, 3], [1 << 30, 1], [-(1 << 30), 5]], "i8")
     tree = hard_negatives.CoverTree.build(np.arange(3), np.zeros(3, "i8"), points)
-    best = [[]]
-    tree.search(9, 1, False, np.array([1 << 30, 1]), [(-(1 << 62), (1 << 62))], best, 3)
-    assert best[0] == [((1 << 60) + 3, 0), ((1 << 60) + 1, -1), (-(1 << 60) + 5, -2)]
+    asked = hard_negatives.Asked([(9, 1, [1 << 30, 1], [(-(1 << 62), 1 << 62)])], 3)
+    tree.search(asked, False)
+    assert [c.tolist() for c in asked.found()[2:]] == [[(1 << 60) + 3, (1 << 60) + 1, -(1 << 60) + 5], [0, 1, 2]]

@@ -45,6 +45,8 @@ TREE = 4096                 # candidates in a tree
 LEAF = 128                  # candidates of a node that is not split
 BASE = 1.15                 # by which covering radii shrink from level to level
 ANCHORS = 16384             # anchors in a block
+_AT_ONCE = 1024             # anchors that descend a tree together
+_MOST = (1 << 63) - 1
 _EXACT = 2.0 ** 52          # integer products of doubles are exact below
 _SLACK = 1e-7               # radians that bounds give way for rounding
 
@@ -140,67 +142,110 @@ class CoverTree:
         return cls(ids, labels, np.frombuffer(row["points"], "<i8").reshape(len(ids), -1), row["norm"],
                    np.frombuffer(row["centres"]).reshape(n, -1), nodes, np.frombuffer(row["nodes"], "f8", n, 32 * n))
 
-    def scores(self, low: int, high: int, q: np.ndarray, real: np.ndarray) -> np.ndarray:
-        d = min(len(q), self.points.shape[1])
-        if d * self.widest * float(np.abs(real).max(initial=0)) < _EXACT:
+    def scores(self, low: int, high: int, asked: Asked, who: np.ndarray) -> np.ndarray:
+        """Inner products of the points ``low`` to ``high`` with some anchors, one column each."""
+        d = min(asked.x.shape[1], self.points.shape[1])
+        if d * self.widest * asked.widest < _EXACT:
             if not hasattr(self, "_real"):
                 self._real = self.points.astype("f8")
-            return (self._real[low:high, :d] @ real[:d]).astype("i8")
-        return self.points[low:high, :d] @ q[:d]
-
-    def search(self, own_id: int, label: int, same: bool, q: np.ndarray, windows: list[tuple[int, int]],
-               best: list[list], k: int) -> int:
-        """Add the first ``k`` candidates (score descending, id ascending) within each window
-        to ``best`` (one list of ``(score, -id)`` a window, kept sorted); returns the number of leaves verified."""
-        real = q.astype("f8")
-        length, verified = float(np.sqrt(real @ real)), 0
-        d = min(len(q), self.centres.shape[1] - 1)
-
-        def bounds(first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
-            if not length or not self.norm:
-                return np.zeros(last - first), np.zeros(last - first)
-            angle = np.arccos(np.clip(self.centres[first:last, :d] @ real[:d] / length, -1.0, 1.0))
-            reach, scale = self.angles[first:last] + _SLACK, length * self.norm
-            slack = scale * 1e-9 + 0.5                  # products are integers
-            return (scale * np.cos(np.maximum(0.0, angle - reach)) + slack,
-                    scale * np.cos(np.minimum(np.pi, angle + reach)) - slack)
-
-        def floors() -> list[float]:
-            return [max(low, b[-1][0]) if len(b) == k else low for (low, _), b in zip(windows, best)]
-
-        up, down = bounds(0, 1)
-        heap, floor = [(-up[0], 0, down[0])], floors()
+            return (self._real[low:high, :d] @ asked.real[who, :d].T).astype("i8")
+        return self.points[low:high, :d] @ asked.x[who, :d].T
+
+    def bounds(self, first: int, last: int, asked: Asked, who: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Largest and smallest inner product of the anchors with anything below the nodes."""
+        d = min(asked.x.shape[1], self.centres.shape[1] - 1)
+        length = asked.length[who]
+        cosine = self.centres[first:last, :d] @ asked.real[who, :d].T / np.where(length > 0, length, 1.0)
+        angle = np.arccos(np.clip(cosine, -1.0, 1.0))
+        reach, scale = self.angles[first:last, None] + _SLACK, length * self.norm
+        slack = scale * 1e-9 + 0.5                      # products are integers
+        return (scale * np.cos(np.maximum(0.0, angle - reach)) + slack,
+                scale * np.cos(np.minimum(np.pi, angle + reach)) - slack)
+
+    def search(self, asked: Asked, same: bool) -> int:
+        """Add this tree's first candidates within each window to ``asked``; returns how many
+        (leaf, anchor) were verified.
+
+        Best-first for all anchors of the block at once: the node that promises
+        the most to any anchor comes next, with those anchors that it is still open to.
+        """
+        verified, every = 0, np.arange(len(asked.x))
+        up, down = self.bounds(0, 1, asked, every)
+        heap = [(-up[0].max(initial=0), 0, every, up[0], down[0])]
         while heap:
-            up, node, down = heapq.heappop(heap)
-            if -up < min(floor):
-                break                                   # nothing left can enter any window
-            if not any(-up >= f and down <= high for f, (_, high) in zip(floor, windows)):
+            _, node, who, up, down = heapq.heappop(heap)
+            open_ = (up >= asked.floor[who]) & (down <= asked.ceiling[who])
+            if not open_.any():
                 continue
+            who = who[open_]
             low, high, first, children = self.nodes[node].tolist()
             if children:
-                ups, downs = bounds(first, first + children)
-                for i in np.flatnonzero(ups >= min(floor)).tolist():
-                    heapq.heappush(heap, (-ups[i], first + i, downs[i]))
+                ups, downs = self.bounds(first, first + children, asked, who)
+                fits = (ups >= asked.floor[who]) & (downs <= asked.ceiling[who])
+                for i in np.flatnonzero(fits.any(1)).tolist():
+                    at = fits[i]
+                    heapq.heappush(heap, (-ups[i, at].max(), first + i, who[at], ups[i, at], downs[i, at]))
                 continue
-            verified += 1
-            score = self.scores(low, high, q, real)
-            fits = (self.labels[low:high] == label) == same
-            fits &= (self.ids[low:high] != own_id) & (score >= min(floor))
-            at = np.flatnonzero(fits)
-            if len(at):
-                found, names = score[at], self.ids[low:high][at]
-                for w, (least, most) in enumerate(windows):
-                    ok = (found >= floor[w]) & (found <= most)
-                    if ok.any():
-                        f, n = found[ok], names[ok]
-                        if len(f) > k:
-                            first_k = np.lexsort((n, -f))[:k]
-                            f, n = f[first_k], n[first_k]
-                        best[w] = heapq.nlargest(k, best[w] + list(zip(f.tolist(), (-n).tolist())))
-                floor = floors()
+            verified += len(who)
+            score = self.scores(low, high, asked, who)
+            fits = (score >= asked.floor[who]) & (score <= asked.ceiling[who])
+            fits &= (self.labels[low:high, None] == asked.label[who]) == same
+            fits &= self.ids[low:high, None] != asked.id[who]
+            point, column = np.nonzero(fits)
+            asked.add(who[column], score[point, column], self.ids[low:high][point])
         return verified
 
 
+class Asked:
+    """A block of anchors, each with windows of allowed scores, and the first ``k`` candidates so far of each window."""
+
+    def __init__(self, block: list[tuple], k: int):
+        """``block``: ``(vec_id, label, x, windows)`` for each anchor."""
+        self.id = np.array([b[0] for b in block], "i8")
+        self.label = np.array([b[1] for b in block], "i8")
+        self.x = np.zeros((len(block), max((len(b[2]) for b in block), default=0)), "i8")
+        for i, b in enumerate(block):
+            self.x[i, :len(b[2])] = b[2]
+        self.real = self.x.astype("f8")
+        self.length, self.widest = np.sqrt((self.real ** 2).sum(1)), float(np.abs(self.real).max(initial=0))
+        self.k, self.n = k, max((len(b[3]) for b in block), default=0)
+        windows = [[*b[3], *[(_MOST, -_MOST)] * (self.n - len(b[3]))] for b in block]
+        self.windows = np.array(windows, "i8").reshape(len(block), self.n, 2)
+        self.score = np.full((len(block), self.n, k), -_MOST, "i8")
+        self.name = np.full((len(block), self.n, k), _MOST, "i8")
+        self.ceiling = self.windows[:, :, 1].max(1, initial=-_MOST)
+        self.floors, self.floor = None, None
+        self._refresh()
+
+    def _refresh(self) -> None:
+        """Scores that a candidate needs at least for each window, and for any of an anchor's."""
+        self.floors = np.maximum(self.windows[:, :, 0], self.score[:, :, -1])
+        self.floor = self.floors.min(1, initial=_MOST)
+
+    def add(self, who: np.ndarray, score: np.ndarray, name: np.ndarray) -> None:
+        """Candidates of some anchors; the first ``k`` of each window by (score descending, name) stay."""
+        fits = (score[:, None] >= self.floors[who]) & (score[:, None] <= self.windows[who, :, 1])
+        at, w = np.nonzero(fits)
+        if not len(at):
+            return
+        cell = who[at] * self.n + w
+        touched = np.unique(cell)
+        cells = np.concatenate([np.repeat(touched, self.k), cell])
+        flat_score, flat_name = self.score.reshape(-1, self.k), self.name.reshape(-1, self.k)
+        scores = np.concatenate([flat_score[touched].ravel(), score[at]])
+        names = np.concatenate([flat_name[touched].ravel(), name[at]])
+        order = np.lexsort((names, -scores, cells))
+        first = np.searchsorted(cells[order], touched)
+        kept = order[first[:, None] + np.arange(self.k)]
+        flat_score[touched], flat_name[touched] = scores[kept], names[kept]
+        self._refresh()
+
+    def found(self) -> tuple[np.ndarray, ...]:
+        """``anchor, window, score, id`` of all that was found."""
+        a, w, place = np.nonzero(self.score > -_MOST)
+        return a, w, self.score[a, w, place], self.name[a, w, place]
+
+
 def trees(rows: DataFrame, size: int = TREE, leaf: int = LEAF) -> DataFrame:
     """Rows of ``candidates`` as cover trees of at most ``size`` rows, written."""
     ship(rows.sparkSession)
@@ -241,16 +286,16 @@ def first_of_each(forest: DataFrame, asked: list[tuple], same: bool, k: int) ->
     parts = max(1, min(forest.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        questions = [(i, label, np.array(x, "i8"), windows) for i, label, x, windows in block.value]
-        best = [[[] for _ in windows] for *_, windows in questions]
+        parts = [(at, Asked(block.value[at:at + _AT_ONCE], k)) for at in range(0, len(block.value), _AT_ONCE)]
         for batch in batches:
-            for at in range(batch.num_rows):
-                tree = CoverTree.of(batch.slice(at, 1).to_pylist()[0])
-                for (i, label, x, windows), b in zip(questions, best):
-                    tree.search(i, label, same, x, windows, b, k)
-        out = [(q, w, score, -i) for q, b in enumerate(best) for w, found in enumerate(b) for score, i in found]
-        columns = list(zip(*out)) if out else [[]] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["q", "w", "score", "id"])
+            for row in range(batch.num_rows):
+                tree = CoverTree.of(batch.slice(row, 1).to_pylist()[0])
+                for _, part in parts:
+                    tree.search(part, same)
+        for at, part in parts:
+            q, w, score, name = part.found()
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (q + at, w, score, name)],
+                                             ["q", "w", "score", "id"])
 
     found = forest.repartition(parts).mapInArrow(run, "q long, w long, score long, id long")
     order = Window.partitionBy("q", "w").orderBy(F.desc("score"), "id")
@@ -273,7 +318,7 @@ def mine(vectors: DataFrame, anchor: str = "vec_id % 100 = 0", relabel: bool = T
     dealt = stage(chosen.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")), "anchors")
     made = []
     for number in range(blocks):
-        asked = [(r["vec_id"], r["label"], r["x"], [(-(1 << 63), (1 << 63) - 1)])
+        asked = [(r["vec_id"], r["label"], r["x"], [(1 - _MOST, _MOST)])
                  for r in dealt.where(F.col("block") == number).collect()]
         near: dict[int, list] = {}
         for r in first_of_each(forest, asked, True, positives).orderBy("q", "rank").collect():
