@@ -32,6 +32,7 @@ further columns are not read.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +46,7 @@ from .common import connected_components, map_texts, ship, split_rows, stage, ut
 SHINGLE = 4
 PERCENT = 85                # of the union that similar sets share at least
 GROUPS = 64
-BUCKETS = 1 << 18
+BUCKETS = 1 << 21
 UNIT = 2048
 LEAF = 32
 FANOUT = 8
@@ -90,11 +91,11 @@ def enough(shared, n, m, percent: int = PERCENT):
     return (100 + percent) * shared >= percent * (n + m)
 
 
-def bucket_counts(docs: DataFrame, size: int = SHINGLE, buckets: int = BUCKETS) -> np.ndarray:
-    """How many (document, shingle) fall into each bucket of hashes, over all documents.
+def bucket_levels(docs: DataFrame, size: int = SHINGLE, buckets: int = BUCKETS) -> np.ndarray:
+    """How common each bucket of hashes is over all documents: its count's logarithm, in one byte.
 
-    A table of fixed size comes from each task and is summed by Spark; only
-    the sum, ``buckets`` longs, reaches the driver.
+    A compressed table of fixed size comes from each task and is summed by
+    Spark; only the levels, a byte a bucket, reach the driver.
     """
     ship(docs.sparkSession)
     part = buckets // _CHUNKS
@@ -113,20 +114,22 @@ def bucket_counts(docs: DataFrame, size: int = SHINGLE, buckets: int = BUCKETS)
         if total.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(_CHUNKS), pa.int32()),
-                 pa.array([total[i * part:(i + 1) * part].tobytes() for i in range(_CHUNKS)], pa.binary())],
-                ["chunk", "counts"])
+                 pa.array([zlib.compress(total[i * part:(i + 1) * part].tobytes(), 1) for i in range(_CHUNKS)],
+                          pa.binary())], ["chunk", "counts"])
 
     def add(key: tuple, tables: pa.Table) -> pa.Table:
         total = np.zeros(part, "i8")
         for counts in tables.column("counts").to_pylist():
-            total += np.frombuffer(counts, "i8")
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    schema = "chunk int, counts binary"
-    sums = docs.select("text").mapInArrow(count, schema).groupBy("chunk").applyInArrow(add, schema)
-    out = np.zeros(buckets, "i8")
-    for chunk, counts in sums.collect():
-        out[chunk * part:(chunk + 1) * part] = np.frombuffer(bytes(counts), "i8")
+            total += np.frombuffer(zlib.decompress(counts), "i8")
+        levels = np.minimum(255, 6 * np.log2(total + 1)).astype("u1")
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()),
+                         "levels": pa.array([levels.tobytes()], pa.binary())})
+
+    sums = docs.select("text").mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(
+        add, "chunk int, levels binary")
+    out = np.zeros(buckets, "u1")
+    for chunk, levels in sums.collect():
+        out[chunk * part:(chunk + 1) * part] = np.frombuffer(bytes(levels), "u1")
     return out
 
 
@@ -135,17 +138,17 @@ def points(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, groups:
     """Every row of ``docs`` as ``row, doc_id, text``, its number of shingles ``n``, the
     set's name ``s1, s2``, its counts per group ``vec`` and its rarest shingles ``prefix``, written."""
     spark = docs.sparkSession
-    counts = spark.sparkContext.broadcast(bucket_counts(docs, size, buckets))
+    levels = spark.sparkContext.broadcast(bucket_levels(docs, size, buckets))
 
     def worker():
-        known, rare = _Hashes(), counts.value
+        known, common = _Hashes(), levels.value
 
         def run(texts: list) -> list:
             out: list[list] = [[], [], [], [], []]
             for t in texts:
                 s = shingle_set(t, size, known)
                 name = xxhash.xxh3_128_digest(s.tobytes())
-                order = np.lexsort((s, rare[(s % np.uint64(buckets)).astype("i8")]))
+                order = np.lexsort((s, common[(s % np.uint64(buckets)).astype("i8")]))
                 for field, value in zip(out, (
                         len(s), int.from_bytes(name[:8], "big", signed=True),
                         int.from_bytes(name[8:], "big", signed=True),
