@@ -25,7 +25,7 @@ from .streaming import run_daily_etl, run_weather_stream
 def _etl(spark, args) -> None:
     p = warehouse_paths(args.warehouse)
     run_daily_etl(spark, args.trips_landing, args.warehouse, args.max_files_per_trigger,
-                  archive_dir=args.archive)
+                  archive_dir=args.archive, mode=args.redelivered)
     if args.weather_landing:
         run_weather_stream(spark, args.weather_landing, p["weather"], p["weather_checkpoint"],
                            args.max_files_per_trigger)
@@ -66,6 +66,8 @@ def main(argv=None) -> None:
     e.add_argument("--warehouse", required=True)
     e.add_argument("--archive", help="move consumed trip files here")
     e.add_argument("--max-files-per-trigger", type=int)
+    e.add_argument("--redelivered", choices=["add", "replace"], default="add",
+                   help="whether a day's new file adds to its trips or replaces them")
     r = sub.add_parser("report", help="print the analysis frames")
     r.add_argument("--warehouse", required=True)
     r.add_argument("--areas", required=True, help="Parquet with area_code, community_name (or pages)")

@@ -814,3 +814,76 @@ def m2_stream_masters(spark, sf_dir):
     result = run_daily_etl(spark, si.load_landing(spark, sf_dir), scratch_path(spark, "etl"))
     return star.decode_keys(result.facts, result.company, result.payment_type).select(
         "trip_id", "company", "payment_type")
+
+
+def _arrived_by_day(spark, sf_dir) -> str:
+    """The landed day files, stamped as if each day's had arrived after the one before."""
+    from ..sources.ledger import _file_system
+    landing = si.load_landing(spark, sf_dir)
+    fs, top = _file_system(spark, landing)
+    days = sorted((d.getPath() for d in fs.listStatus(top) if d.isDirectory()), key=lambda d: d.getName())
+    for n, day in enumerate(days):
+        for f in fs.listStatus(day):
+            fs.setTimes(f.getPath(), 1_700_000_000_000 + n * 60_000, -1)
+    return landing
+
+
+@query("m2_daily_masters", with_views(["clean"], """
+SELECT trip_id, company, payment_type, company_id, payment_type_id FROM clean
+JOIN (SELECT company, row_number() OVER (ORDER BY first, company) AS company_id FROM
+      (SELECT company, min(CAST(trip_start_timestamp AS DATE)) AS first FROM clean GROUP BY company)) USING (company)
+JOIN (SELECT payment_type, row_number() OVER (ORDER BY first, payment_type) AS payment_type_id FROM
+      (SELECT payment_type, min(CAST(trip_start_timestamp AS DATE)) AS first FROM clean GROUP BY payment_type))
+  USING (payment_type)"""))
+def m2_daily_masters(spark, sf_dir):
+    """Masters grown one day a batch out of streaming state, then the daily ETL
+    encodes every trip with them; trips with their values and the ids they got."""
+    from ..streaming.ingest import run_daily_etl, run_master_stream
+    landing, base = _arrived_by_day(spark, sf_dir), scratch_path(spark, "etl-by-day")
+    run_master_stream(spark, landing, base, max_files_per_trigger=1)
+    result = run_daily_etl(spark, landing, base)
+    return (result.facts.join(result.company, "company_id").join(result.payment_type, "payment_type_id")
+            .select("trip_id", "company", "payment_type", F.col("company_id").cast("bigint").alias("company_id"),
+                    F.col("payment_type_id").cast("bigint").alias("payment_type_id")))
+
+
+@query("s11_previous_master", with_views(["clean"], """
+SELECT company, CASE WHEN first = (SELECT max(first) FROM
+       (SELECT min(CAST(trip_start_timestamp AS DATE)) AS first FROM clean GROUP BY company)) THEN 'newest' ELSE 'previous'
+       END AS version
+FROM (SELECT company, min(CAST(trip_start_timestamp AS DATE)) AS first FROM clean GROUP BY company)"""))
+def s11_previous_master(spark, sf_dir):
+    """After the day-by-day run, which companies the version before the newest already had."""
+    from ..schemas import COMPANY_MASTER_SCHEMA
+    from ..streaming.ingest import master_base, run_master_stream
+    base = scratch_path(spark, "masters-by-day")
+    run_master_stream(spark, _arrived_by_day(spark, sf_dir), base, max_files_per_trigger=1)
+    folder = master_base(base, "company")
+    before = files.read_master(spark, folder, COMPANY_MASTER_SCHEMA, previous=True).select("company", F.lit(1).alias("had"))
+    return files.read_master(spark, folder, COMPANY_MASTER_SCHEMA).join(before, "company", "left").select(
+        "company", F.when(F.col("had").isNull(), "newest").otherwise("previous").alias("version"))
+
+
+@query("s12_consume_once", with_views(["clean"], f"SELECT {_cols(CLEAN_COLS)} FROM clean"))
+def s12_consume_once(spark, sf_dir):
+    """Everything landed is delivered to one warehouse through two checkpoints; each file counts once."""
+    from ..streaming.ingest import run_daily_etl
+    landing, base = si.load_landing(spark, sf_dir), scratch_path(spark, "etl-twice")
+    run_daily_etl(spark, landing, base, checkpoint=f"{base}/first")
+    result = run_daily_etl(spark, landing, base, checkpoint=f"{base}/second")
+    return star.decode_keys(result.facts, result.company, result.payment_type).select(*CLEAN_COLS)
+
+
+@query("m4_corrected_day", with_views(["clean"], f"""
+SELECT trip_id, CAST(trip_start_timestamp AS DATE) AS day, trip_total FROM clean
+WHERE CAST(trip_start_timestamp AS DATE) <> DATE '{SLICE_DAY}' OR payment_type <> 'click'"""))
+def m4_corrected_day(spark, sf_dir):
+    """M4: one day is delivered again without some of its trips; its newest committed generation is what counts."""
+    from ..streaming.ingest import run_daily_etl
+    base, again = scratch_path(spark, "etl-corrected"), scratch_path(spark, "landing-corrected")
+    run_daily_etl(spark, si.load_landing(spark, sf_dir), base, mode="replace")
+    corrected = si.landed_trips(spark, sf_dir).where(
+        (F.substring("trip_start_timestamp", 1, 10) == SLICE_DAY) & (F.col("payment_type") != "click"))
+    files.write_raw_json(corrected.withColumn("ingest_date", F.substring("trip_start_timestamp", 1, 10)), again)
+    result = run_daily_etl(spark, again, base, checkpoint=f"{base}/corrections", mode="replace")
+    return result.facts.select("trip_id", F.col("trip_date").alias("day"), "trip_total")

@@ -15,7 +15,7 @@ from ..operators.dims import date_dimension_for
 from ..operators.star import decode_keys
 from ..operators.weather import weather_extras
 from ..schemas import COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA
-from ..sources import files
+from ..sources import files, ledger
 from .standins import Star, _sized
 
 
@@ -41,7 +41,9 @@ def star_from_warehouse(spark: SparkSession, base: str, areas: DataFrame,
     are counted and broadcast only within the bound.
     """
     p = warehouse_paths(base)
-    facts = spark.read.parquet(p["facts"])
+    facts = ledger.read_facts(spark, base.rstrip("/"))
+    if facts is None:
+        raise FileNotFoundError(f"no committed facts below {base}")
     company = _sized(files.read_master(spark, p["company"], COMPANY_MASTER_SCHEMA))
     payment = _sized(files.read_master(spark, p["payment_type"], PAYMENT_TYPE_MASTER_SCHEMA))
     weather = _sized(weather_extras(spark.read.parquet(p["weather"]).drop("day")))

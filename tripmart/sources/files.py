@@ -7,12 +7,12 @@ scans filter by file suffix (S5) and treat an empty folder as zero rows (B4).
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..schemas import RAW_TRIP_SCHEMA, WEATHER_JSON_SCHEMA
+from . import ledger
 
 # Text form of zone-free timestamps in CSV files: full microseconds, so a
 # write/read round trip is lossless.
@@ -81,6 +81,8 @@ def concat_tables(frames) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None) -> None:
     """CSV with a header, no index column."""
+    if isinstance(partition_by, str):
+        df = rebalanced(df, partition_by)
     w = (df.write.mode(mode).option("header", True)
          .option("timestampNTZFormat", CSV_TS_FORMAT)
          .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE))
@@ -91,8 +93,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by=No
 
 def write_raw_json(df: DataFrame, path: str, partition_by: str = "ingest_date",
                    mode: str = "overwrite") -> None:
-    """Land raw records as JSON, one folder per ingest day."""
-    (df.write.mode(mode).partitionBy(partition_by)
+    """Land raw records as JSON, one folder per ingest day, a few files each."""
+    (rebalanced(df, partition_by).write.mode(mode).partitionBy(partition_by)
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).json(path))
 
 
@@ -125,43 +127,40 @@ def write_dated_facts(df: DataFrame, path: str, date_col: str = "trip_date",
 
 
 def write_master_version(master: DataFrame, base: str, version: int) -> None:
-    """Store a master as ``version=N``; earlier versions stay readable.
+    """Store a master as ``version=N`` and then point to it.
 
-    Writing a new folder instead of overwriting in place keeps the previous
-    version (the reference copies it aside) and avoids overwriting a path
-    that the same job is reading.  Rewriting the same version is idempotent.
+    The folder of a version is never the one being read, and readers see it
+    only once the pointer names it.  The pointer also names the version
+    before, which stays readable (the reference copies it aside).
     """
-    master.write.mode("overwrite").parquet(f"{base.rstrip('/')}/version={int(version)}")
-
-
-def _never_written(error: AnalysisException) -> bool:
-    """No version yet; any other failure must not pass for an empty master,
-    which would number the dimension anew under stored facts."""
-    return error.getCondition() == "PATH_NOT_FOUND"
+    spark, base = master.sparkSession, base.rstrip("/")
+    master.write.mode("overwrite").parquet(f"{base}/version={int(version)}")
+    now = ledger.read_pointer(spark, base)
+    if now is None or now["version"] != int(version):
+        ledger.write_pointer(spark, base, {"version": int(version), "previous": now and now["version"]})
 
 
 def read_master(spark: SparkSession, base: str, schema: StructType | None = None,
-                version: int | None = None) -> DataFrame:
-    """The newest (or a given) master version."""
-    try:
-        all_versions = spark.read.parquet(base)
-    except AnalysisException as e:
-        if schema is None or not _never_written(e):
-            raise
+                version: int | None = None, previous: bool = False) -> DataFrame:
+    """The newest master version, the one before it or a given one.
+
+    Opens the pointer and one folder, however many versions there are.  A
+    master that was never written is empty if ``schema`` tells its columns.
+    """
+    base = base.rstrip("/")
+    if version is None:
+        now = ledger.read_pointer(spark, base)
+        version = now and now["previous" if previous else "version"]
+    if version is None:
+        if schema is None:
+            raise FileNotFoundError(f"no master version below {base}")
         from .literal import literal_rows
         return literal_rows(spark, [], schema)
-    if version is None:
-        version = all_versions.agg(F.max("version")).first()[0]
-    out = all_versions.where(F.col("version") == version).drop("version")
+    out = spark.read.parquet(f"{base}/version={int(version)}")
     return out.select(*schema.fieldNames()) if schema is not None else out
 
 
 def latest_version(spark: SparkSession, base: str) -> int:
-    """Highest stored master version, 0 when none exists."""
-    try:
-        v = spark.read.parquet(base).agg(F.max("version")).first()[0]
-    except AnalysisException as e:
-        if not _never_written(e):
-            raise
-        return 0
-    return int(v or 0)
+    """The version that counts, 0 when none was written."""
+    now = ledger.read_pointer(spark, base.rstrip("/"))
+    return 0 if now is None else int(now["version"])
