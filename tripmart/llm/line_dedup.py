@@ -125,17 +125,22 @@ def buckets(sketched: DataFrame) -> DataFrame:
         "id != low").select("bucket", "id", "low")
 
 
-def shingle_sets(ids: DataFrame, named: DataFrame, distinct: DataFrame, size: int) -> DataFrame:
-    """``id, set`` (hashes of the line's distinct shingles) for distinct ``ids(id)``."""
-    return stage(named.join(ids, "id", "left_semi").join(distinct, ["h1", "h2"]).select(
-        "id", F.transform(F.array_distinct(shingles(F.col("line"), size)), lambda s: F.xxhash64(s)).alias("set")),
-        "line-sets")
+def line_texts(ids: DataFrame, named: DataFrame, distinct: DataFrame) -> DataFrame:
+    """``id, line`` for distinct ``ids(id)``: texts travel, not the sets, which take eight bytes a character."""
+    return stage(named.join(ids, "id", "left_semi").join(distinct, ["h1", "h2"]).select("id", "line"),
+                 "line-texts", compression="zstd")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``id, low, similar``: exact Jaccard of the two lines' shingle sets for each pair."""
-    other = sets.withColumnsRenamed({"id": "low", "set": "low_set"})
-    both = pairs.join(sets, "id").join(other, "low")
+def hashed_shingles(line: Column, size: int) -> Column:
+    return F.transform(F.array_distinct(shingles(line, size)), lambda s: F.xxhash64(s))
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float, size: int = SHINGLE) -> DataFrame:
+    """``id, low, similar``: exact Jaccard of the two lines' shingle sets for each pair,
+    made from the texts where they meet."""
+    both = pairs.join(texts, "id").join(texts.toDF("low", "low_line"), "low").select(
+        "id", "low", hashed_shingles(F.col("line"), size).alias("set"),
+        hashed_shingles(F.col("low_line"), size).alias("low_set"))
     shared = F.size(F.array_intersect("set", "low_set"))
     return both.select("id", "low", (shared >= F.lit(threshold) * (
         F.size("set") + F.size("low_set") - shared)).alias("similar"))
@@ -201,8 +206,8 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
     named = sketched.select("id", "h1", "h2")
     members = stage(buckets(sketched), "line-members")
     pairs = members.select("id", "low").distinct()
-    sets = shingle_sets(pairs.select("id").union(pairs.select("low")).distinct(), named, distinct, size)
-    result = stage(verified(pairs, sets, threshold), "line-pairs")
+    texts = line_texts(pairs.select("id").union(pairs.select("low")).distinct(), named, distinct)
+    result = stage(verified(pairs, texts, threshold, size), "line-pairs")
     roots = stage(connected_components(result.where("similar").select(
         F.col("id").alias("a"), F.col("low").alias("b"))), "line-roots")
     told = stage(members.join(result, ["id", "low"]).select("bucket", "id", "similar"), "line-told")
@@ -211,10 +216,11 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
     left = stage(told.join(open_, "bucket").groupBy("id").agg((~F.bool_and("similar")).alias("unlike")), "line-left")
     known = left.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "unlike", F.coalesce("root", "id").alias("root"))
-    at_hand = sets.join(left, "id", "left_semi")
+    at_hand = stage(texts.join(left, "id", "left_semi").select(
+        "id", hashed_shingles(F.col("line"), size).alias("set")), "line-sets")
     places = stage(prefixes(at_hand, threshold).join(known.join(parities(at_hand), "id"), "id"), "line-places")
     more = stage(further_pairs(places, threshold), "line-further")
-    linked = stage(verified(more, sets, threshold).where("similar"), "line-pairs")
+    linked = stage(verified(more, texts, threshold, size).where("similar"), "line-pairs")
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(linked.select("id", "low"))
 
 
