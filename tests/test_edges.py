@@ -185,7 +185,7 @@ def test_g7_argmin_first_strict_minimum(spark):
     out = {r.doc: r for r in an.argmin_total(items, ["doc"], "name", "playCount", ["pos"]).collect()}
     assert out[1].lowest_name == "b" and out[1].total_count == 9
     assert out[2].lowest_name == "z"
-    assert out[1].message == "The song 'b' has the lowest, 2 playCount."
+    assert out[1].message == "fewest plays: b (2)"
 
 
 def test_f13_thousands(spark):
@@ -301,3 +301,17 @@ def test_g8_describe_text_all_null_column(spark):
     got = {r.column_name: r for r in profile.describe_text(df, ["v", "w"]).collect()}
     assert (got["w"]["count"], got["w"]["unique"], got["w"]["top"]) == (0, 0, None)
     assert (got["v"]["count"], got["v"]["top"], got["v"]["freq"]) == (2, "a", 2)
+
+
+def test_argmin_in_array(spark):
+    """First strict minimum, items without a count skipped, empty and missing arrays defined; no sort, no shuffle."""
+    schema = "id int, contents struct<items array<struct<name string, playCount bigint>>>"
+    docs = spark.createDataFrame([
+        (1, ([("a", 5), ("b", 2), ("c", 2), (None, 9)],)), (2, ([],)), (3, (None,)), (4, None),
+        (5, ([("x", None), ("y", 7)],)), (6, ([(None, 1)],))], schema)
+    out = an.argmin_total_in_array(docs, "contents.items", "name", "playCount")
+    got = {r.id: (r.lowest_name, r.lowest_count, r.lowest_place, r.total_count) for r in out.collect()}
+    assert got == {1: ("b", 2, 1, 18), 2: (None, None, None, 0), 3: (None, None, None, 0), 4: (None, None, None, 0),
+                   5: ("y", 7, 1, 7), 6: (None, 1, 0, 1)}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan

@@ -32,7 +32,7 @@ def test_s6_nested_document_and_g7_argmin(spark, tmp_dir):
         F.lit(1).alias("doc"), "pos", F.col("it.name").alias("name"), F.col("it.playCount").alias("playCount"))
     r = an.argmin_total(items, ["doc"], "name", "playCount", ["pos"]).first()
     assert (r.lowest_name, r.lowest_count, r.total_count) == ("Song B", 900, 17800)
-    assert r.message == "The song 'Song B' has the lowest, 900 playCount."
+    assert r.message == "fewest plays: Song B (900)"
 
 
 def test_s3_csv_roundtrip_keeps_microseconds_and_booleans(spark, tmp_dir):

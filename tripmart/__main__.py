@@ -46,7 +46,7 @@ def _report(spark, args) -> None:
         "Mean hourly trips on workdays by rain": an.rain_pivot(an.rain_by_hour(full)).orderBy("hour"),
         "Revenue per company (SQL, top 10)": sqltext.run(spark, star, sqltext.A1_REVENUE),
         "Pickups per community area (SQL, top 10)": sqltext.run(spark, star, sqltext.A2_PICKUP),
-        "Daily rides per weekday (SQL)": sqltext.run(spark, star, sqltext.A3_WEEKDAY),
+        "Daily rides per weekday (SQL)": sqltext.weekday_rides(spark, star),
     }
     for title, df in frames.items():
         print(f"\n== {title}")

@@ -107,6 +107,33 @@ def taxis_per_company(full: DataFrame, k: int = 8) -> DataFrame:
     return top_k(agg, k, "taxi_count", "company")
 
 
+def argmin_total_in_array(docs: DataFrame, items: str, name: str, count: str) -> DataFrame:
+    """G7 on documents: the columns of ``docs`` and, folded over the array ``items`` in one pass,
+    ``lowest_name``, ``lowest_count``, ``lowest_place`` (from 0) and ``total_count``.
+
+    A strict ``<`` scan: the first of equal minima wins.  Items without a
+    count are skipped; an empty or missing array has no lowest and a total
+    of 0.  No explode, shuffle or sort: a document is one row.
+    """
+    start = F.struct(F.lit(None).cast("string").alias("name"), F.lit(None).cast("long").alias("low"),
+                     F.lit(None).cast("int").alias("place"), F.lit(0).cast("int").alias("next"),
+                     F.lit(0).cast("long").alias("total"))
+
+    def step(so_far, item):
+        n = item[count].cast("long")
+        lower = n.isNotNull() & (so_far["low"].isNull() | (n < so_far["low"]))
+        return F.struct(F.when(lower, item[name]).otherwise(so_far["name"]).alias("name"),
+                        F.when(lower, n).otherwise(so_far["low"]).alias("low"),
+                        F.when(lower, so_far["next"]).otherwise(so_far["place"]).alias("place"),
+                        (so_far["next"] + 1).cast("int").alias("next"),
+                        (so_far["total"] + F.coalesce(n, F.lit(0).cast("long"))).alias("total"))
+
+    array = F.coalesce(F.col(items), F.array().cast(docs.select(items).schema[0].dataType))
+    folded = docs.withColumn("_fold", F.aggregate(array, start, step))
+    return folded.select(*docs.columns, F.col("_fold.name").alias("lowest_name"), F.col("_fold.low").alias("lowest_count"),
+                         F.col("_fold.place").alias("lowest_place"), F.col("_fold.total").alias("total_count"))
+
+
 def argmin_total(items: DataFrame, group_cols, name_col: str, count_col: str,
                  position_cols) -> DataFrame:
     """Per group, the item with the lowest count (first strict minimum in
@@ -122,7 +149,7 @@ def argmin_total(items: DataFrame, group_cols, name_col: str, count_col: str,
         F.min(count_col).alias("lowest_count"),
         F.sum(count_col).alias("total_count"))
         .withColumn("message", F.format_string(
-            "The song '%s' has the lowest, %s playCount.",
+            "fewest plays: %s (%s)",
             F.col("lowest_name"), thousands("lowest_count"))))
 
 
