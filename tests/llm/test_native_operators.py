@@ -249,7 +249,9 @@ def test_call_cases(spark):
     results = spark.createDataFrame([(1, 1, "a", "r\n1"), (1, 1, "a", "r2"), (3, 7, "q", None), (3, 8, None, "n")],
                                     "conv_id long, turn long, call_id string, content string")
     rows = tool_calls.link(calls, results, schema).collect()
-    by = {r["call_id"]: r for r in rows if r["call_id"]}
+    by = {r["call_id"]: r for r in rows if r["call_id"] and r["status"] != "further"}
+    assert sum(r["n_rows"] for r in rows) == calls.count() + results.count()
+    assert [(r["call_id"], json.loads(r["canonical"])["result"]) for r in rows if r["status"] == "further"] == [("a", "r2")]
     assert [by[k]["status"] for k in "abcdefq"] == ["linked"] + ["unanswered"] * 5 + ["orphan"]
     assert sum(r["status"] == "unidentified" for r in rows) == 2
     assert [by[k]["level"] for k in "abcd"] == [0, 1, 2, 3]
@@ -263,12 +265,49 @@ def test_call_cases(spark):
     assert tool_calls.link(calls.limit(0), results.limit(0), schema).count() == 0
 
 
+def test_calls_of_two_conversations(spark):
+    """An identifier is the conversation's own; calls that differ under one identifier all stay."""
+    calls = spark.createDataFrame(
+        [(1, 0, "k", "ask", '{"q":"one"}', None, "x"), (2, 0, "k", "ask", '{"q":"two"}', None, "x"),
+         (2, 5, "k", "ask", '{"q":"three"}', None, "x"), (2, 6, "l", "ask", '{"q":"' + "y" * 300_000 + '"}', "k", "x"),
+         (None, 1, "k", "ask", "{}", None, "x")],
+        "conv_id long, turn long, call_id string, name string, arguments string, after string, status string")
+    results = spark.createDataFrame([(1, 1, "k", "r1"), (2, 1, "k", "r2"), (2, 1, "k", "r2"), (2, 3, "k", ""), (3, 1, "k", "r3")],
+                                    "conv_id long, turn long, call_id string, content string")
+    rows = tool_calls.link(calls, results, {"ask": (tool_calls.Field("q", "string"),)}).collect()
+    got = sorted((r["conv_id"] or 0, r["call_id"], r["status"], r["level"], r["n_calls"], r["n_results"], r["n_rows"],
+                  json.loads(r["canonical"])["result"]) for r in rows)
+    assert got == sorted([
+        (1, "k", "linked", 0, 1, 1, 2, "r1"), (2, "k", "linked", 0, 2, 3, 3, "r2"), (2, "k", "conflicting", None, 2, 0, 1, None),
+        (2, "k", "further", None, 0, 3, 1, ""), (2, "l", "unanswered", 1, 1, 0, 1, None),
+        (3, "k", "orphan", None, 0, 1, 1, "r3"), (0, "k", "unidentified", None, 1, 0, 1, None)], key=lambda r: r[:3])
+    assert max(len(r["canonical"]) for r in rows) > 300_000
+
+
+def test_argument_kinds(spark):
+    """Kinds are those of the JSON text, at any depth, and every value has one spelling."""
+    schema = {"t": tuple(tool_calls.Field(k[0], k, False) for k in tool_calls.KINDS)}
+    given = ['{"s": 5}', '{"i":"5"}', '{"s":{"a":1}}', '{"b":"true"}', '{"n":"1"}', '{"i":1.5}', '{"s":null}',
+             ' { "i" : 5 , "n": 1.50, "b":false, "s": "\\u00e9" } ', '{"i":12345678901234567890}', '{"n":{"z":1,"a":[ 1 ]}}',
+             '{"i":1,"i":2}', '{"i":1', '']
+    calls = spark.createDataFrame([(1, n, f"c{n}", "t", a, None) for n, a in enumerate(given)],
+                                  "conv_id long, turn long, call_id string, name string, arguments string, after string")
+    none = spark.createDataFrame([], "conv_id long, turn long, call_id string, content string")
+    by = {r["turn"]: (r["errors"], r["canonical"]) for r in tool_calls.link(calls, none, schema).collect()}
+    assert [by[n][0] for n in range(len(given))] == [
+        "s is no string", "i is no integer", "s is no string", "b is no boolean", "n is no number", "i is no integer",
+        "s is no string", "", "", "n is no number"] + ["arguments are no object"] * 3
+    assert '{"arguments":{"b":false,"i":5,"n":1.5,"s":"\u00e9"},' in by[7][1]
+    assert '{"arguments":{"i":12345678901234567890},' in by[8][1] and '{"arguments":{"n":{"a":[1],"z":1}},' in by[9][1]
+
+
 def test_call_query(spark):
     turns = brute.read(SF, "conversations")
     rows = queries.op9_tool_calls(spark, SF).collect()
     by = {(t["conv_id"], t["turn"]): t for t in turns}
     users = [t for t in turns if t["role"] == "user"]
     assert sum(r["n_calls"] for r in rows) == len(users)
+    assert sum(r["n_rows"] for r in rows) == len(turns)
     seen = {(r["conv_id"], r["turn"]): r for r in rows if r["n_calls"]}
     for t in users:
         r = seen[t["conv_id"], t["turn"]]

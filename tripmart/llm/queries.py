@@ -55,8 +55,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    calls, results = tool_calls.calls_of(table(spark, sf_dir, "conversations"))
-    return tool_calls.link(calls, results, tool_calls.SCHEMAS)
+    return tool_calls.conversation_rows(table(spark, sf_dir, "conversations"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
