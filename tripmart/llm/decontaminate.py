@@ -8,8 +8,9 @@ character positions of the original text.
 
 The benchmark is a stated set that must fit one automaton: its patterns are
 counted before they leave Spark and ``MAX_PATTERN_BYTES`` is enforced.  A
-larger set is scanned in blocks: one pass over the documents per block, whose
-word intervals are merged per document afterwards.
+larger set is scanned in blocks, one at a time: a block leaves the driver's
+memory before the next is read, its hits are written, and the word intervals of
+all passes are merged per row afterwards (rows have written ids).
 
 Null and empty documents have no words and are never hit; an item without
 words has no pattern; equal windows of several items report all of them.
@@ -17,14 +18,15 @@ words has no pattern; equal windows of several items report all of them.
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
+from collections.abc import Iterator
 
 import ahocorasick
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import alnum_words, map_texts
+from .common import alnum_words, map_texts, numbered, stage
 
 WINDOW = 10
 # Pattern text one automaton may hold (its nodes take about 50 times as much memory).
@@ -50,19 +52,19 @@ def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return made.select(F.col("item_id").cast("string"), F.explode("patterns").alias("pattern")).distinct()
 
 
-def pattern_blocks(patterns: DataFrame, max_bytes: int) -> list[list[tuple[str, list[str]]]]:
-    """Patterns with their items, in blocks of at most ``max_bytes`` of pattern text."""
+def pattern_blocks(patterns: DataFrame, max_bytes: int) -> Iterator[list[tuple[str, list[str]]]]:
+    """Patterns with their items, in blocks of at most ``max_bytes`` of pattern text, one block held at a time."""
     by_pattern = (patterns.groupBy("pattern").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
                   .orderBy("pattern"))
-    blocks, room = [[]], max_bytes
+    block, room = [], max_bytes
     for row in by_pattern.toLocalIterator():
         cost = len(row["pattern"]) + sum(map(len, row["items"]))
-        if cost > room and blocks[-1]:
-            blocks.append([])
-            room = max_bytes
-        blocks[-1].append((row["pattern"], list(row["items"])))
+        if cost > room and block:
+            yield block
+            block, room = [], max_bytes
+        block.append((row["pattern"], list(row["items"])))
         room -= cost
-    return blocks
+    yield block
 
 
 _AUTOMATA: dict[str, ahocorasick.Automaton] = {}
@@ -108,7 +110,7 @@ def character_spans(text: str, spans: list[tuple[int, int]]) -> list[tuple[int,
 
 def _scan(docs: DataFrame, block, keep: tuple[str, ...], digest: bool) -> DataFrame:
     patterns = docs.sparkSession.sparkContext.broadcast(block)
-    tag = hashlib.md5(repr(block).encode()).hexdigest()
+    tag = uuid.uuid4().hex
 
     def worker():
         automaton = _automaton(tag, patterns)
@@ -133,14 +135,16 @@ def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, max_bytes: i
     """Per document: ``n_words``, ``n_hit``, the items found, word intervals and
     character intervals of the hits (left out with ``digest=True``)."""
     blocks = pattern_blocks(item_windows(benchmark, size), max_bytes)
-    if len(blocks) == 1:
-        found = _scan(docs, blocks[0], keep, digest)
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        found = _scan(docs, block, keep, digest)
     else:
-        rows = docs.withColumn("_row", F.monotonically_increasing_id()).select("_row", *keep, "text")
-        passes = [_scan(rows, block, ("_row", *keep), digest) for block in blocks]
-        every = passes[0]
-        for more in passes[1:]:
-            every = every.unionByName(more)
+        rows = numbered(docs.select(*keep, "text")).select(F.col("row").alias("_row"), "doc.*")
+        every = None
+        while block is not None:
+            hits = stage(_scan(rows, block, ("_row", *keep), digest), "block-hits")
+            every = hits if every is None else every.unionByName(hits)
+            block, following = following, next(blocks, None)
         merged = every.groupBy("_row", *keep, "n_words").agg(
             F.flatten(F.collect_list(F.arrays_zip("hit_from", "hit_to"))).alias("s"),
             F.array_distinct(F.flatten(F.collect_list("char_spans"))).alias("char_spans"),

@@ -83,3 +83,68 @@ FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
     AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
 QUALIFY rank <= 10
 """
+
+_WORDS = f"coalesce(regexp_extract_all(translate(text, {_A_Z}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])"
+
+OP5 = f"""
+WITH docs AS (
+    SELECT doc_id, {_WORDS} AS w FROM documents
+), items AS (
+    SELECT item_id, {_WORDS} AS w FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS size,
+        unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS phrase
+    FROM items WHERE len(w) > 0
+), places AS (
+    SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+    FROM docs, (SELECT DISTINCT size FROM item_windows) WHERE len(w) >= size
+), found AS (
+    SELECT p.doc_id, p.i, p.size, m.item_id
+    FROM (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS phrase FROM places) p
+    JOIN item_windows m ON m.size = p.size AND m.phrase = p.phrase
+), hits AS (
+    SELECT doc_id, count(DISTINCT word) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM found) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n.n_items, 0)::BIGINT AS n_items, sha256(coalesce(n.items, '')) AS items_sha256,
+    h.n_hit IS NOT NULL AS contaminated
+FROM docs d LEFT JOIN hits h ON h.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id
+"""
+
+# Every (conv_id, turn) of the table is one row.
+OP9 = """
+WITH RECURSIVE users AS (
+    SELECT *, 'call-' || conv_id || '-' || turn AS call_id FROM conversations WHERE role = 'user'
+), answers AS (
+    SELECT *, 'call-' || conv_id || '-' || (turn - 1) AS call_id FROM conversations WHERE role = 'assistant'
+), chain AS (
+    SELECT u.conv_id, u.turn, 0::BIGINT AS level FROM users u
+    WHERE u.turn < 2 OR NOT EXISTS (SELECT 1 FROM users b WHERE b.conv_id = u.conv_id AND b.turn = u.turn - 2)
+    UNION ALL
+    SELECT u.conv_id, u.turn, c.level + 1 FROM chain c JOIN users u
+        ON u.conv_id = c.conv_id AND u.turn = c.turn + 2 AND u.turn >= 2
+)
+SELECT u.conv_id, u.call_id, 'ask' AS name, c.level, u.turn,
+    CASE WHEN a.turn IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+    CASE WHEN u.text IS NULL THEN 'missing text' ELSE '' END AS errors,
+    1::BIGINT AS n_calls, (a.turn IS NOT NULL)::BIGINT AS n_results, 1 + (a.turn IS NOT NULL)::BIGINT AS n_rows,
+    '{"arguments":{' || coalesce('"text":' || to_json(u.text)::VARCHAR || ',', '') || '"turn":' || u.turn
+        || coalesce(',"words":' || len(regexp_split_to_array(trim(u.text), ' +')), '') || '},"id":"' || u.call_id
+        || '","name":"ask","result":' || CASE WHEN a.text IS NULL THEN 'null' ELSE to_json(a.text)::VARCHAR END || '}'
+        AS canonical
+FROM users u JOIN chain c ON c.conv_id = u.conv_id AND c.turn = u.turn LEFT JOIN answers a ON a.call_id = u.call_id
+UNION ALL
+SELECT a.conv_id, a.call_id, NULL, NULL, a.turn, 'orphan', NULL, 0, 1, 1,
+    '{"arguments":null,"id":"' || a.call_id || '","name":null,"result":'
+        || CASE WHEN a.text IS NULL THEN 'null' ELSE to_json(a.text)::VARCHAR END || '}'
+FROM answers a WHERE NOT EXISTS (SELECT 1 FROM users u WHERE u.call_id = a.call_id)
+UNION ALL
+SELECT conv_id, NULL, NULL, NULL, turn, 'no call', NULL, 0, 0, 1,
+    '{"role":' || CASE WHEN role IS NULL THEN 'null' ELSE to_json(role)::VARCHAR END || ',"text":'
+        || CASE WHEN text IS NULL THEN 'null' ELSE to_json(text)::VARCHAR END || '}'
+FROM conversations WHERE role IS NULL OR role NOT IN ('user', 'assistant')
+"""

@@ -83,4 +83,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op11_jaccard_join": oracles.OP11, "op12_collocations": oracles.OP12, "op13_hard_negatives": oracles.OP13}
+    return {"op5_decontaminate": oracles.OP5, "op9_tool_calls": oracles.OP9, "op11_jaccard_join": oracles.OP11,
+            "op12_collocations": oracles.OP12, "op13_hard_negatives": oracles.OP13}
