@@ -11,9 +11,9 @@ from tripmart.operators.star import decode_keys, encode_keys
 from tripmart.schemas import COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA
 
 
-@pytest.fixture(params=[0, 10**6], ids=["distributed", "small"])
+@pytest.fixture(params=[500, 10**6], ids=["many ranges", "one range"])
 def path(request, monkeypatch):
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", request.param)
+    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", request.param)
     return request.param
 
 
@@ -26,7 +26,7 @@ def _trips(spark, rows):
 def test_dense_ids_equal_row_number(spark, path):
     df = spark.range(0, 5000).select((F.col("id") * 7919 % 5003).alias("k"), F.col("id"))
     got = dims.dense_ids(df, [F.col("k"), F.col("id")], "rid", start=11)
-    want = df.withColumn("rid", (F.row_number().over(Window.orderBy("k", "id")) + 10).cast("int"))
+    want = df.withColumn("rid", (F.row_number().over(Window.orderBy("k", "id")) + 10).cast("bigint"))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
@@ -36,7 +36,7 @@ def test_distributed_path_has_no_window_over_the_rows(spark, monkeypatch):
     totals (one row per partition), so no row goes through a single task."""
     import contextlib
     import io
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", 0)
+    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", 200)
     df = spark.range(0, 1000).select(F.col("id").alias("k"))
     out = dims.dense_ids(df, [F.col("k")], "rid")
     buf = io.StringIO()

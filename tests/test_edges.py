@@ -210,14 +210,14 @@ def test_g8_describe_matches_pandas(spark):
         assert math.isclose(got[ours], want[theirs], rel_tol=1e-12), ours
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_g8_quantiles_both_paths_match_pandas(spark, monkeypatch, small_rows):
+@pytest.mark.parametrize("range_rows", [50, 10**6])
+def test_g8_quantiles_both_paths_match_pandas(spark, monkeypatch, range_rows):
     import random
 
     import pandas as pd
 
     from tripmart.operators import _plan
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", small_rows)
+    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", range_rows)
     random.seed(7)
     a = [float(random.randint(0, 50)) for _ in range(500)]
     b = [random.random() * 100 for _ in range(300)] + [None] * 200
@@ -249,10 +249,7 @@ def test_d17_weather_offset(spark):
     assert df.first().datetime == dt.datetime(2024, 3, 11, 19, 0)
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_c9_cap_over_a_large_day_uses_positions(spark, monkeypatch, small_rows):
-    from tripmart.operators import _plan
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", small_rows)
+def test_c9_cap_over_a_large_day(spark):
     rows = [(i, dt.datetime(2024, 3, 12, 0, 0) + dt.timedelta(seconds=(i * 37) % 500)) for i in range(500)]
     df = spark.createDataFrame(rows, "trip_id int, trip_start_timestamp timestamp_ntz")
     got = sorted(r.trip_id for r in cl.capped_slice(df, "2024-03-12", cap=40).collect())
@@ -315,3 +312,12 @@ def test_argmin_in_array(spark):
                    5: ("y", 7, 1, 7), 6: (None, 1, 0, 1)}
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Sort" not in plan and "Exchange" not in plan
+
+
+def test_x9_every_row_is_typed_or_rejected(spark):
+    raw = spark.createDataFrame([("1", "2.5", None), ("x", "1e400", None), (None, "", None), (None, None, "{broken")],
+                                "trip_seconds string, fare string, bad string")
+    rows = cl.typed_or_rejected(raw, {"trip_seconds": "int", "fare": "double"}, "bad").collect()
+    got = [(r.trip_seconds, r.reject_reasons) for r in rows]
+    assert got == [(1, []), (None, ["trip_seconds is no int"]), (None, ["fare is no double"]), (None, ["corrupt record"])]
+    assert rows[0].fare == 2.5 and rows[1].fare == math.inf and rows[3].bad == "{broken"

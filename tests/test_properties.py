@@ -23,7 +23,7 @@ SETTINGS = settings(max_examples=12, deadline=None,
                      unique=True),
        start=st.integers(1, 100), small=st.booleans())
 def test_dense_ids_is_row_number(spark, monkeypatch, keys, start, small):
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", 10**6 if small else 0)
+    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", 10**6 if small else 7)
     df = spark.createDataFrame(keys, "a int, b string")
     got = sorted(tuple(r) for r in dims.dense_ids(df, [F.col("a"), F.col("b")], "id", start).collect())
     want = sorted((a, b, start + i) for i, (a, b) in enumerate(sorted(keys)))
@@ -35,7 +35,7 @@ def test_dense_ids_is_row_number(spark, monkeypatch, keys, start, small):
                      max_size=80),
        small=st.booleans())
 def test_exact_quartiles_equal_pandas(spark, monkeypatch, vals, small):
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", 10**6 if small else 0)
+    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", 10**6 if small else 7)
     if all(v is None for v in vals):
         vals = vals + [0.5]
     df = spark.createDataFrame([(v,) for v in vals], "x double")
@@ -84,7 +84,7 @@ def test_update_master_keeps_old_ids_and_numbers_new_ones_densely(spark, values,
 
 
 def test_distributed_positions_match_window_on_ties_free_weights(spark, monkeypatch):
-    monkeypatch.setattr(_plan, "SMALL_SET_ROWS", 0)
+    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", 200)
     df = spark.range(0, 3000).select((F.col("id") % 97).alias("g"), F.col("id"), (F.col("id") % 5 + 1).alias("w"))
     got = _plan.with_positions(df, [F.col("g"), F.col("id")], "before", weight="w")
     want = df.withColumn("before", F.coalesce(

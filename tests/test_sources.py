@@ -92,6 +92,16 @@ def test_s7_html_table_rows(spark):
     assert got == [(1, "Rogers Park"), (32, "The & Loop"), (77, "Edgewater")]
 
 
+def test_s7_nested_tables_and_missing_end_tags(spark):
+    cls = "wikitable sortable plainrowheaders mw-datatable"
+    inner = '<table><tr><td>5</td></tr><tr><th><a>in</a></th></tr></table>'
+    page = (f"</table><!-- <table class='{cls}'> --><script>x='<tr>'</script><TABLE id=1 class='{cls}'><tr><tr>"
+            f"<tr><td>1{'</td>'}<td>{inner}<th><a>A &lt; B<tr><td> 2 <th>x <a>C</a><a>D</a></th> <a>E</a><tr>foot")
+    pages = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, f"<table class='{cls}'><tr></table>")], "page_id long, html string")
+    got = sorted(tuple(r) for r in html.html_table_rows(pages).collect())
+    assert got == [(1, 0, 1, "A < B"), (1, 1, 2, "C")]
+
+
 def test_s7_list_links(spark):
     page = '<ul><li><a href="/a">Alpha &amp; co</a></li><li> <a class="x" href="/b"> Beta </a></li></ul>'
     pages = spark.createDataFrame([(5, page)], "page_id long, html string")
@@ -109,7 +119,7 @@ def test_u2_concat_by_name_missing_columns_null(spark):
 def test_s14_literal_rows_typed_and_empty(spark):
     from tripmart.sources import literal_rows
     df = literal_rows(spark, [(1, "A"), (2, None)], COMPANY_MASTER_SCHEMA)
-    assert [f.dataType.simpleString() for f in df.schema.fields] == ["int", "string"]
+    assert [f.dataType.simpleString() for f in df.schema.fields] == ["bigint", "string"]
     assert sorted(tuple(r) for r in df.collect()) == [(1, "A"), (2, None)]
     empty = literal_rows(spark, [], COMPANY_MASTER_SCHEMA)
     assert empty.count() == 0 and empty.columns == ["company_id", "company"]

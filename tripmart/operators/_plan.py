@@ -68,14 +68,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Ordered sets up to this many rows (proven by a count) are numbered in
-# one partition; larger ones take the distributed path.
-SMALL_SET_ROWS = 1_000_000
+# Rows a range partition of an ordered set aims at: the number of partitions
+# follows from the counted rows, so a task's share stays the same at any size.
+ROWS_PER_RANGE = 1_000_000
 
 
 def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
-                   weight=None, partitions: int | None = None,
-                   small_rows: int | None = None, stored: bool = False,
+                   weight=None, partitions: int | None = None, stored: bool = False,
                    known_rows: int | None = None) -> DataFrame:
     """Add ``out_col`` = total weight of all rows sorting strictly before each row.
 
@@ -84,26 +83,18 @@ def with_positions(df: DataFrame, order_cols, out_col: str = "_before",
     total order (unique keys) for the result to be deterministic.
 
     The input is written once (``stage``; skipped when the caller passes
-    ``stored=True`` for a table that is already written) and counted
-    (skipped when the caller passes ``known_rows``).  A set proven to
-    hold at most ``small_rows`` rows gets a plain window in one partition.
-    A larger set never goes through one task: range-partition it on the
-    order, write the partitions with their ids (so the split is fixed),
-    total each partition, turn the totals into offsets (one row per
-    partition — a proven bound, so broadcast) and add each row's rank
-    inside its partition (its index after a local sort for unit weights,
-    a running total per partition otherwise).
+    ``stored=True`` for a table that is already written) and counted (from
+    the file footers; skipped when the caller passes ``known_rows``).  Sets
+    of every size go the same way: range-partition on the order into
+    partitions of about ``ROWS_PER_RANGE`` rows, write the partitions with
+    their ids (so the split is fixed), total each partition, turn the totals
+    into offsets (one row per partition — a proven bound, so broadcast) and
+    add each row's rank inside its partition (its index after a local sort
+    for unit weights, a running total per partition otherwise).
     """
-    spark = df.sparkSession
-    small_rows = SMALL_SET_ROWS if small_rows is None else small_rows
     w = F.lit(1).cast("long") if weight is None else F.col(weight).cast("long")
     base = df.withColumn("_w", w) if stored else stage(df.withColumn("_w", w), "ordered-set")
-    before = Window.orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    n = known_rows if known_rows is not None else base.limit(small_rows + 1).count()
-    if n <= small_rows:
-        return (base.withColumn(out_col, F.coalesce(F.sum("_w").over(before), F.lit(0).cast("long")))
-                .drop("_w"))
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = partitions or -(-(base.count() if known_rows is None else known_rows) // ROWS_PER_RANGE) or 1
     ranged = base.repartitionByRange(n_parts, *order_cols)
     if weight is None:
         # Unit weights: after the local sort, a row's rank inside its range

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import hour_floor, parse_timestamp
-from ._plan import with_positions
 from ..schemas import DROPPED_TRIP_FIELDS, RAW_TRIP_FIELDS, TRIP_CAST_TYPES, TRIP_RENAMES, require_columns
 
 
@@ -29,6 +28,24 @@ def cast_types(df: DataFrame, types: dict | None = None, strict: bool = True) ->
     return df.select(*cols)
 
 
+def typed_or_rejected(df: DataFrame, types: dict | None = None, corrupt_col: str | None = None) -> DataFrame:
+    """X9/P5 without failing the job: every row with typed columns and ``reject_reasons`` (empty: the row is good).
+
+    One pass, nothing vanishes: a record that could not be parsed
+    (``corrupt_col`` holds its text) has the one reason ``corrupt record``; each
+    value that does not fit its type becomes null and names its column (sorted).  Nulls
+    are no reason (C1 removes them).  ``corrupt_col`` stays, so a rejected row
+    can be landed anew.
+    """
+    types = TRIP_CAST_TYPES if types is None else types
+    wrong = F.array_compact(F.array(*[
+        F.when(F.col(c).isNotNull() & F.col(c).try_cast(types[c]).isNull(), F.lit(f"{c} is no {types[c]}"))
+        for c in df.columns if c in types]).cast("array<string>"))
+    if corrupt_col is not None:
+        wrong = F.when(F.col(corrupt_col).isNotNull(), F.array(F.lit("corrupt record"))).otherwise(wrong)
+    return cast_types(df.withColumn("reject_reasons", F.array_sort(wrong)), types, strict=False)
+
+
 def drop_any_null(df: DataFrame, subset=None) -> DataFrame:
     """Drop rows holding a NULL in any (or any listed) column."""
     return df.na.drop(how="any", subset=subset)
@@ -76,9 +93,7 @@ def capped_slice(df: DataFrame, day: str, cap: int,
     """One day, at most ``cap`` rows — the first by time then key (B5:
     the reference's cap takes an unordered subset; here it is explicit).
 
-    The cap is the caller's: there is no default.  Rows whose position in
-    (time, key) order is below it stay; ``orderBy().limit`` would merge
-    ``cap`` rows from every task in one place.
+    The cap is the caller's: there is no default.  Spark runs sort and limit
+    as a top-k per task, or as a full sort beyond its own top-k bound.
     """
-    ranked = with_positions(day_slice(df, day, ts_col), [F.col(ts_col), F.col(key_col)], out_col="_pos")
-    return ranked.where(F.col("_pos") < cap).drop("_pos")
+    return day_slice(df, day, ts_col).orderBy(ts_col, key_col).limit(cap)

@@ -20,7 +20,7 @@ def dense_ids(df: DataFrame, order_cols, id_col: str, start: int = 1, stored: bo
     is already a written table (no second staging).
     """
     out = with_positions(df, list(order_cols), out_col="_before", stored=stored, known_rows=known_rows)
-    return (out.withColumn(id_col, (F.col("_before") + F.lit(start)).cast("int"))
+    return (out.withColumn(id_col, (F.col("_before") + F.lit(start)).cast("bigint"))
             .drop("_before"))
 
 
@@ -63,7 +63,7 @@ def build_masters(trips: DataFrame, specs: dict, first_col: str = "trip_start_ti
     ranked = with_positions(cand, [F.col("_kind"), F.col("_first"), F.col("_value")], out_col="_pos")
     starts = ranked.groupBy("_kind").agg(F.min("_pos").alias("_start"))
     numbered = (ranked.join(F.broadcast(starts), "_kind")
-                .withColumn("_id", (F.col("_pos") - F.col("_start") + 1).cast("int")))
+                .withColumn("_id", (F.col("_pos") - F.col("_start") + 1).cast("bigint")))
     return {v: numbered.where(F.col("_kind") == v).select(F.col("_id").alias(id_col), F.col("_value").alias(v))
             for v, id_col in specs.items()}
 
@@ -104,7 +104,7 @@ def grow_master(trips: DataFrame, master: DataFrame, id_col: str, value_col: str
     require_columns(trips, [value_col, first_col], "trips")
     require_columns(master, [id_col, value_col], "master")
     known = master.select(value_col)
-    old = master.select(F.col(id_col).cast("int").alias(id_col), value_col)
+    old = master.select(F.col(id_col).cast("bigint").alias(id_col), value_col)
     if dedupe:
         cand = _first_seen(trips, value_col, first_col).join(known, value_col, "left_anti")
         order = [F.col("_first"), F.col(value_col)]

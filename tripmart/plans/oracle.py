@@ -49,9 +49,9 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "date_dim": ((), """SELECT d AS date, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month,
   CAST(day(d) AS INT) AS day, CAST(isodow(d) AS INT) AS day_of_week, isodow(d) IN (6,7) AS is_weekend
   FROM (SELECT CAST(unnest(generate_series(DATE '2023-01-01', DATE '2028-01-01', INTERVAL 1 DAY)) AS DATE) AS d)"""),
-    "company": (("trips",), """SELECT CAST(row_number() OVER (ORDER BY f, company) AS INT) AS company_id, company
+    "company": (("trips",), """SELECT CAST(row_number() OVER (ORDER BY f, company) AS BIGINT) AS company_id, company
   FROM (SELECT company, min(trip_start_timestamp) AS f FROM trips WHERE company IS NOT NULL GROUP BY company)"""),
-    "payment_type": (("trips",), """SELECT CAST(row_number() OVER (ORDER BY f, payment_type) AS INT) AS payment_type_id, payment_type
+    "payment_type": (("trips",), """SELECT CAST(row_number() OVER (ORDER BY f, payment_type) AS BIGINT) AS payment_type_id, payment_type
   FROM (SELECT payment_type, min(trip_start_timestamp) AS f FROM trips WHERE payment_type IS NOT NULL GROUP BY payment_type)"""),
     "facts": (("trips", "payment_type", "company"), """SELECT t.trip_id, t.taxi_id, t.trip_start_timestamp,
   t.datetime_for_weather, t.trip_seconds, t.trip_miles, t.trip_total, t.pickup_community_area_id,

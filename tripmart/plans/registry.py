@@ -20,7 +20,6 @@ from ..functions import (days_back, exact_sum, extension, hour_floor, hour_of_da
 from ..operators import analytics as an
 from ..operators import clean as cl
 from ..operators import dims, profile, star
-from ..operators._plan import with_positions
 from ..operators.weather import weather_extras, weather_rows
 from ..schemas import (PAYMENT_TYPE_MASTER_SCHEMA, PLAYLIST_SCHEMA,
                        RAW_TRIP_FIELDS, TRIP_RENAMES)
@@ -38,7 +37,6 @@ SLICE_DAY = "2024-01-15"          # a day inside the driver data's span (2024-01
 NUMERIC_PROFILE = ("trip_seconds", "trip_miles", "trip_total")
 TEXT_PROFILE = ("company", "payment_type")
 START_PAYMENT_MASTER = [(1, "click"), (2, "view")]   # S14 literal starting master
-ITEMS_PER_DOCUMENT = 1000
 
 _Q: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
@@ -276,7 +274,7 @@ cand AS (SELECT payment_type, min(trip_start_timestamp) AS f FROM trips
          GROUP BY payment_type)
 SELECT CAST(payment_type_id AS INT) AS payment_type_id, payment_type FROM m
 UNION ALL
-SELECT CAST((SELECT max(payment_type_id) FROM m) + row_number() OVER (ORDER BY f, payment_type) AS INT),
+SELECT CAST((SELECT max(payment_type_id) FROM m) + row_number() OVER (ORDER BY f, payment_type) AS BIGINT),
        payment_type FROM cand"""))
 def x4_update_master(spark, sf_dir):
     return dims.update_master(_star(spark, sf_dir).trips, _start_master(spark),
@@ -288,7 +286,7 @@ WITH {_START_MASTER_SQL}
 SELECT CAST(payment_type_id AS INT) AS payment_type_id, payment_type FROM m
 UNION ALL
 SELECT CAST((SELECT max(payment_type_id) FROM m)
-            + row_number() OVER (ORDER BY trip_start_timestamp, trip_id) AS INT), payment_type
+            + row_number() OVER (ORDER BY trip_start_timestamp, trip_id) AS BIGINT), payment_type
 FROM trips WHERE payment_type IS NOT NULL AND payment_type NOT IN (SELECT payment_type FROM m)"""))
 def x4_update_master_per_occurrence(spark, sf_dir):
     """X4 with ``dedupe=False``: the reference's literal one-id-per-occurrence form (B1)."""
@@ -302,7 +300,7 @@ def x6_build_master(spark, sf_dir):
 
 
 @query("w1_surrogate_ids", with_views(["trips"], """
-SELECT CAST(row_number() OVER (ORDER BY f, taxi_id) AS INT) AS taxi_key, taxi_id
+SELECT CAST(row_number() OVER (ORDER BY f, taxi_id) AS BIGINT) AS taxi_key, taxi_id
 FROM (SELECT taxi_id, min(trip_start_timestamp) AS f FROM trips GROUP BY taxi_id)"""))
 def w1_surrogate_ids(spark, sf_dir):
     """A dense key per taxi, in order of first trip."""
@@ -311,7 +309,7 @@ def w1_surrogate_ids(spark, sf_dir):
 
 
 @query("w1_trip_ids", with_views(["trips"], """
-SELECT CAST(row_number() OVER (ORDER BY trip_start_timestamp, trip_id) AS INT) AS trip_key, trip_id
+SELECT CAST(row_number() OVER (ORDER BY trip_start_timestamp, trip_id) AS BIGINT) AS trip_key, trip_id
 FROM trips"""))
 def w1_trip_ids(spark, sf_dir):
     """W1 over every trip: the dense numbering on a set that grows with the data."""
@@ -500,6 +498,28 @@ def p5_cast_types(spark, sf_dir):
     return cl.cast_types(_raw(spark, sf_dir).withColumnsRenamed(TRIP_RENAMES))
 
 
+@query("x9_quarantine", with_views(["raw_trips"], """
+SELECT reasons, count(*) AS n_rows FROM (
+    SELECT CASE WHEN trip_id LIKE '%3' THEN 'corrupt record' ELSE concat_ws(',',
+        CASE WHEN fare IS NOT NULL AND trip_id LIKE '%7' THEN 'fare is no double' END,
+        CASE WHEN pickup_community_area IS NOT NULL AND (trip_id LIKE '%5' OR trip_id LIKE '%7')
+             THEN 'pickup_community_area_id is no tinyint' END) END AS reasons
+    FROM raw_trips) GROUP BY reasons"""))
+def x9_quarantine(spark, sf_dir):
+    """Raw trips landed with broken lines and values; how many rows are typed, and why the others are not."""
+    path = scratch_path(spark, "landed-lines")
+    raw = si.raw_trips(spark, sf_dir)
+    ends = lambda *d: F.substring("trip_id", -1, 1).isin(*d)
+    raw = raw.withColumns({"fare": F.when(ends("7"), F.concat("fare", F.lit(" USD"))).otherwise(F.col("fare")),
+                           "pickup_community_area": F.when(ends("5", "7"), F.concat(F.lit("3000"), "pickup_community_area"))
+                           .otherwise(F.col("pickup_community_area"))})
+    line = F.to_json(F.struct(*RAW_TRIP_FIELDS))
+    raw.select(F.when(ends("3"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("value")).write.text(path)
+    landed = files.read_trip_lines(spark, path).withColumnsRenamed(TRIP_RENAMES)
+    return (cl.typed_or_rejected(landed, corrupt_col=files.CORRUPT_COL)
+            .groupBy(F.array_join("reject_reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
 def _g9_sql() -> str:
     parts = [f"SELECT {i} AS position, '{f}' AS column_name, 'string' AS data_type, "
              f"COUNT({f}) AS non_null_count, COUNT(*) AS row_count FROM raw_trips"
@@ -701,14 +721,8 @@ def g7_argmin_total(spark, sf_dir):
     return an.argmin_total(_items(spark, sf_dir), ["order_key"], "name", "play_count", ["line", "part"])
 
 
-@query("g7_argmin_in_array", """
-SELECT l_orderkey AS order_key, arg_min(CAST(l_partkey AS VARCHAR), (CAST(l_quantity AS BIGINT), l_linenumber, l_partkey)) AS lowest_name,
-       MIN(CAST(l_quantity AS BIGINT)) AS lowest_count,
-       CAST(arg_min(l_linenumber, (CAST(l_quantity AS BIGINT), l_linenumber, l_partkey)) AS INTEGER) AS lowest_place,
-       CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_count
-FROM lineitem GROUP BY l_orderkey""")
-def g7_argmin_in_array(spark, sf_dir):
-    """G7 on nested documents: one JSON document an order, its items folded in place."""
+def _order_documents(spark, sf_dir) -> DataFrame:
+    """Orders landed as nested JSON documents, items in line order, and read back."""
     docs = (_items(spark, sf_dir).groupBy("order_key")
             .agg(F.array_sort(F.collect_list(F.struct("line", "part", "play_count", "name"))).alias("it"))
             .select("order_key", F.transform("it", lambda x: x["line"]).alias("lines"), F.struct(F.transform(
@@ -719,7 +733,18 @@ def g7_argmin_in_array(spark, sf_dir):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("lines", T.ArrayType(T.IntegerType()))]
                           + PLAYLIST_SCHEMA.fields)
-    back = files.read_nested_json(spark, path, schema)
+    return files.read_nested_json(spark, path, schema)
+
+
+@query("g7_argmin_in_array", """
+SELECT l_orderkey AS order_key, arg_min(CAST(l_partkey AS VARCHAR), (CAST(l_quantity AS BIGINT), l_linenumber, l_partkey)) AS lowest_name,
+       MIN(CAST(l_quantity AS BIGINT)) AS lowest_count,
+       CAST(arg_min(l_linenumber, (CAST(l_quantity AS BIGINT), l_linenumber, l_partkey)) AS INTEGER) AS lowest_place,
+       CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS total_count
+FROM lineitem GROUP BY l_orderkey""")
+def g7_argmin_in_array(spark, sf_dir):
+    """G7 on nested documents: one JSON document an order, its items folded in place."""
+    back = _order_documents(spark, sf_dir)
     return an.argmin_total_in_array(back, "contents.items", "name", "playCount").select(
         "order_key", "lowest_name", "lowest_count", F.get("lines", F.col("lowest_place")).alias("lowest_place"), "total_count")
 
@@ -728,29 +753,8 @@ def g7_argmin_in_array(spark, sf_dir):
 SELECT l_orderkey AS order_key, CAST(l_partkey AS VARCHAR) AS name, CAST(l_quantity AS BIGINT) AS play_count
 FROM lineitem""")
 def s6_nested_json(spark, sf_dir):
-    """Nested documents (``contents.items`` arrays) landed as JSON and read back.
-
-    Items are numbered in (order, line, ...) order without a single
-    partition, and cut into documents of at most ``ITEMS_PER_DOCUMENT``
-    consecutive items, so no document (group) is unbounded even if one
-    order held a third of all lines.
-    """
-    items = _items(spark, sf_dir)
-    order = [F.col(c) for c in ("order_key", "line", "part", "play_count", "name")]
-    pos = with_positions(items, order, out_col="pos")
-    docs = (pos.withColumn("doc", F.floor(F.col("pos") / ITEMS_PER_DOCUMENT))
-            .groupBy("order_key", "doc")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "name", "play_count"))).alias("it"))
-            .select("order_key", "doc", F.struct(F.transform(
-                "it", lambda x: F.struct(x["name"].alias("name"), x["play_count"].alias("playCount"))
-            ).alias("items")).alias("contents")))
-    path = scratch_path(spark, "nested-json")
-    docs.write.json(path)
-    from pyspark.sql import types as T
-    schema = T.StructType([T.StructField("order_key", T.LongType()), T.StructField("doc", T.LongType())]
-                          + PLAYLIST_SCHEMA.fields)
-    back = files.read_nested_json(spark, path, schema)
-    return back.select("order_key", F.explode("contents.items").alias("it")).select(
+    """Nested documents (``contents.items`` arrays) landed as JSON, one an order, and read back."""
+    return _order_documents(spark, sf_dir).select("order_key", F.explode("contents.items").alias("it")).select(
         "order_key", F.col("it.name").alias("name"), F.col("it.playCount").alias("play_count"))
 
 
@@ -778,6 +782,35 @@ def s7_html_rows(spark, sf_dir):
     return html.html_list_links(read_table(spark, sf_dir, "pages"))
 
 
+ROWS_PER_PAGE = 50
+
+
+@query("s7_html_table", f"""
+SELECT CAST(s_suppkey // {ROWS_PER_PAGE} AS BIGINT) AS page_id,
+       CAST(row_number() OVER (PARTITION BY s_suppkey // {ROWS_PER_PAGE} ORDER BY s_suppkey) - 1 AS INTEGER) AS row_index,
+       CAST(s_suppkey AS INTEGER) AS area_code, n_name || ' & ' || s_name AS community_name
+FROM supplier JOIN nation ON n_nationkey = s_nationkey""")
+def s7_html_table(spark, sf_dir):
+    """S7/F19/F20 (table form): pages of supplier tables with nested tables and left-out end tags, rows pulled out."""
+    rows = (read_table(spark, sf_dir, "supplier")
+            .join(F.broadcast(read_table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey")))
+    odd = F.col("s_suppkey") % 2 == 1
+    row = F.concat(
+        F.when(odd, F.lit("<TR>")).otherwise(F.lit('<tr class="row">')), F.lit("<td> "), F.col("s_suppkey").cast("string"),
+        F.when(odd, F.lit("\n")).otherwise(F.lit("</td><td><table><tr><td>7</td></tr><tr><th><a>no</a></th></tr></table></td>")),
+        F.lit('<th scope="row"><!-- <a>x</a> --><a href="/s"> '), F.col("n_name"), F.lit(" &amp; <i>"), F.col("s_name"),
+        F.lit("</i></a> <a>more</a>"), F.when(odd, F.lit("")).otherwise(F.lit("</th></tr>")))
+    # A page holds ROWS_PER_PAGE key values, so its size is bounded however many suppliers there are.
+    pages = (rows.groupBy(F.expr(f"s_suppkey div {ROWS_PER_PAGE}").alias("page_id"))
+             .agg(F.array_sort(F.collect_list(F.struct("s_suppkey", row.alias("row")))).alias("r"))
+             .select("page_id", F.concat(
+                 F.lit('<html><script>var t = "<table>";</script><table class="other"><tr><td>9</td></tr></table><table class="'),
+                 F.lit(html.AREA_TABLE_CLASS), F.lit('"><tr><th>No.</th></tr><tr><th>Name</th></tr>'),
+                 F.array_join(F.transform("r", lambda x: x["row"]), ""),
+                 F.lit("<tr><td>Total</td></tr></table><table><tr><td>1</td></tr></table></html>")).alias("html")))
+    return html.html_table_rows(pages)
+
+
 # ---------------------------------------------------------------- file round trips
 
 @query("s1_trip_json", with_views(["raw_trips"], f"""

@@ -67,11 +67,11 @@ WEATHER_JSON_SCHEMA = T.StructType([
 ])
 
 COMPANY_MASTER_SCHEMA = T.StructType([
-    T.StructField("company_id", T.IntegerType(), False),
+    T.StructField("company_id", T.LongType(), False),
     T.StructField("company", T.StringType(), True),
 ])
 PAYMENT_TYPE_MASTER_SCHEMA = T.StructType([
-    T.StructField("payment_type_id", T.IntegerType(), False),
+    T.StructField("payment_type_id", T.LongType(), False),
     T.StructField("payment_type", T.StringType(), True),
 ])
 

@@ -37,6 +37,16 @@ def read_trip_json(spark: SparkSession, path: str, multi_line: bool = False) ->
     return _scan(spark, "json", RAW_TRIP_SCHEMA).option("multiLine", multi_line).json(path)
 
 
+CORRUPT_COL = "_corrupt_record"
+
+
+def read_trip_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S1 with X9: one record per line, all-text; a line that is no JSON object keeps its text in ``CORRUPT_COL``."""
+    schema = StructType(list(RAW_TRIP_SCHEMA.fields)).add(CORRUPT_COL, "string")
+    return (spark.read.schema(schema).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path))
+
+
 def read_weather_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Weather documents, one object of parallel hourly arrays each."""
     return _scan(spark, "json", WEATHER_JSON_SCHEMA).option("multiLine", multi_line).json(path)
