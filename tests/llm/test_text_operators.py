@@ -92,6 +92,58 @@ def test_contamination_query(spark):
     assert any(r["contaminated"] for r in rows)
 
 
+def _prose(n: int) -> str:
+    return "\n".join(f"The quiet river number {i} ran past the old mill and on to the sea." for i in range(n))
+
+
+def _menu(n: int) -> str:
+    return "\n".join(f"# $ MENU {i} | HOME *** | *** BUY %% NOW !!!" for i in range(n))
+
+
+def test_lines_of_a_mixed_document():
+    """Labels of documents, of one kind each, are enough to tell the lines of a document that has both kinds."""
+    texts = [_prose(n) for n in range(8, 40)] + [_menu(n) for n in range(8, 40)]
+    rules = [quality.describe(t) for t in texts]
+    crf = quality.fit_lines([r.features for r in rules], [1] * 32 + [0] * 32, [r.lines for r in rules])
+    for good, bad in ((12, 4), (4, 12), (1, 30)):
+        mixed = quality.describe(_prose(good) + "\n" + _menu(bad))
+        share = quality.content_share(mixed, crf)
+        assert 0 < share < 1 and share == pytest.approx(sum(mixed.lines[:good]) / mixed.n_words)
+
+
+def test_line_labels_agree_with_the_document():
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        n = rng.integers(1, 12)
+        words, scores, labels = rng.integers(1, 9, n), rng.normal(0, 1, n), rng.integers(0, 2, n)
+        for content in (True, False):
+            got = quality.agreeing(labels, scores, words, content)
+            assert (words[got == 1].sum() >= 0.5 * words.sum()) == content
+            assert (got[got != labels] == content).all()
+
+
+def test_fit_of_many_lines_stays_small():
+    import tracemalloc
+    rules = [quality.describe(_prose(20)) for _ in range(100)] + [quality.describe("x\n" * 25_000)]
+    tracemalloc.start()
+    quality.fit_lines([r.features for r in rules], [1] * 100 + [0], [r.lines for r in rules], rounds=1)
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+
+
+def test_training_edges(spark, no_docs):
+    docs = spark.createDataFrame([(1, _prose(20), "a"), (2, _menu(20), "b"), (3, None, None), (4, "", "c"), (1, _prose(20), "a"),
+                                  (None, "x", "d")], "doc_id long, text string, quality string")
+    kinds = "doc_id long, quality int, text string"
+    none = spark.createDataFrame([], kinds)
+    one = spark.createDataFrame([(1, 1, "t"), (1, 1, "t"), (3, 1, None), (None, 0, None)], kinds)
+    both = spark.createDataFrame([(1, 1, "t"), (2, 0, "t"), (4, 0, None), (9, None, None)], kinds)
+    assert quality.train(no_docs, both) == quality.train(docs, none) == quality.train(docs, one) == quality.default_weights()
+    crf = quality.train(docs, both)
+    assert quality.content_share(quality.describe(_prose(9)), crf) == 1
+    assert quality.content_share(quality.describe(_menu(9)), crf) == 0
+
+
 def test_bpe(spark, edge_docs, edge_rows, no_docs):
     enc = brute.bpe_encoding()
     got = bpe.encode_documents(edge_docs, VOCABULARY, public_tokenizers.PATTERN).collect()

@@ -7,8 +7,15 @@ of words in content lines decides whether the document stays.  The base rules
 
 The field is fitted in numpy on a bounded sample of labelled documents: at
 most ``MAX_FIT_DOCS`` (those with the smallest hash of doc_id), each of at most
-``MAX_FIT_BYTES``.  Lines have no labels of their own, so a sampled document's quality label stands for each of
-its lines.  Without labels of both kinds, ``default_weights`` is used.
+``MAX_FIT_BYTES``, and of these as many as ``MAX_FIT_LINES`` lines allow.
+Labels are per document, lines have none of their own; so line labels are
+found in rounds (``fit_lines``): they start from the signals of the lines
+themselves, the field is fitted to them, and decoding with it gives the next
+ones.  A round's labels must agree with the document's label: where the content share is on
+the wrong side, the lines that speak least for theirs change sides.  The
+switching weights stay at their defaults: labels of documents can't tell where
+lines switch, and fitted to them they paint each text in one colour.  Without labels of both kinds,
+``default_weights`` is used.
 
 Null and empty texts have no words and fail the base rules.  Repeated rows are
 judged alike, row by row; a text may be one line of any length.
@@ -31,7 +38,13 @@ MIN_WORDS = 50
 # Share of words in content lines a kept document needs.
 MIN_CONTENT_SHARE = 0.5
 MAX_FIT_DOCS = 1500
+# Lines the fit takes in all, which bounds its memory and time.
+MAX_FIT_LINES = 200_000
 FIT_ROUNDS = 150
+# Times that line labels are found anew.
+LABEL_ROUNDS = 4
+# The fit cuts a sequence into pieces of so many lines; decoding takes it whole.
+PIECE = 64
 
 _SYMBOL_BYTES = SYMBOLS.encode()
 _UPPER = bytes(range(65, 91))
@@ -134,50 +147,84 @@ def content_share(rules: TextRules, crf: Crf) -> float:
     return float(np.array(rules.lines)[kept].sum() / rules.n_words)
 
 
-def fit_crf(sequences: list[np.ndarray], labels: list[int], rounds: int = FIT_ROUNDS, l2: float = 1e-3,
-            rate: float = 0.1) -> Crf:
+class _Group(NamedTuple):
+    """Pieces of nearly one length, padded: features, labels, which lines are real, weight of a line, first pieces."""
+    x: np.ndarray
+    y: np.ndarray
+    real: np.ndarray
+    weight: np.ndarray
+    first: np.ndarray
+
+
+def _groups(sequences: list[np.ndarray], labels: list[np.ndarray], weights: list[float]) -> list[_Group]:
+    pieces: dict[int, list] = {}
+    for s, y, w in zip(sequences, labels, weights):
+        for at in range(0, len(s), PIECE):
+            n = min(PIECE, len(s) - at)
+            pieces.setdefault(1 << (n - 1).bit_length(), []).append((s[at:at + n], y[at:at + n], w, at == 0))
+    out = []
+    for length, found in sorted(pieces.items()):
+        x, y = np.zeros((len(found), length, N_FEATURES)), np.zeros((len(found), length), "i8")
+        real = np.zeros((len(found), length), bool)
+        for i, (s, labels_of, _, _) in enumerate(found):
+            x[i, :len(s)], y[i, :len(s)], real[i, :len(s)] = s, labels_of, True
+        out.append(_Group(x, y, real, np.array([f[2] for f in found]), np.array([f[3] for f in found])))
+    return out
+
+
+def _gradient(theta: np.ndarray, g: _Group) -> np.ndarray:
+    """Gradient of the weighted log likelihood of a group, by forward-backward sums."""
+    n, longest = g.real.shape
+    u, t, s0 = theta[:N_FEATURES], theta[N_FEATURES:N_FEATURES + 4].reshape(2, 2), theta[-2:]
+    start = np.where(g.first[:, None], s0, 0.0)
+    unary = np.stack([np.zeros((n, longest)), g.x @ u], 2)
+    alpha, beta = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
+    alpha[:, 0] = unary[:, 0] + start
+    for k in range(1, longest):
+        nxt = np.logaddexp.reduce(alpha[:, k - 1, :, None] + t, axis=1) + unary[:, k]
+        alpha[:, k] = np.where(g.real[:, k, None], nxt, alpha[:, k - 1])
+    for k in range(longest - 2, -1, -1):
+        prev = np.logaddexp.reduce(t + (unary[:, k + 1] + beta[:, k + 1])[:, None, :], axis=2)
+        beta[:, k] = np.where(g.real[:, k + 1, None], prev, 0)
+    z = np.logaddexp.reduce(alpha[:, -1], axis=1)
+    p1 = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None]) * g.real
+    grad = np.zeros_like(theta)
+    grad[:N_FEATURES] = np.einsum("ij,ijk->k", ((g.y == 1) * g.real - p1) * g.weight[:, None], g.x)
+    pair = alpha[:, :-1, :, None] + t + (unary[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None]
+    pair = np.exp(pair) * g.real[:, 1:, None, None]
+    for a in (0, 1):
+        for b in (0, 1):
+            seen = ((g.y[:, :-1] == a) & (g.y[:, 1:] == b)) * g.real[:, 1:]
+            grad[N_FEATURES + 2 * a + b] = ((seen - pair[:, :, a, b]) * g.weight[:, None]).sum()
+        first = np.exp(alpha[:, 0, a] + beta[:, 0, a] - z)
+        grad[-2 + a] = (((g.y[:, 0] == a) - first) * g.weight * g.first).sum()
+    return grad
+
+
+def fit_crf(sequences: list[np.ndarray], labels: list, rounds: int = FIT_ROUNDS, l2: float = 1e-3,
+            rate: float = 0.1, documents: list[int] | None = None,
+            switching: tuple | None = None) -> Crf:
     """Maximum likelihood by gradient ascent (Adam) with forward-backward sums.
 
-    Sequences are padded to a common length and processed position by position
-    in one numpy batch; each sequence weighs the same for either label so that
-    a rare label isn't drowned.
+    ``labels`` holds a label per sequence, or an array with one per line.
+    Sequences are cut into pieces of ``PIECE`` lines (all lines count, the
+    switches at cuts don't) and padded within groups of nearly one length, so
+    memory follows the number of lines.  Documents of either label
+    (``documents``, or the sequences' labels) weigh the same in sum, so that a
+    rare one isn't drowned.  ``switching`` holds the transitions at given values.
     """
-    n, longest = len(sequences), max(len(s) for s in sequences)
-    x = np.zeros((n, longest, N_FEATURES))
-    real = np.zeros((n, longest), bool)
-    for i, s in enumerate(sequences):
-        x[i, :len(s)], real[i, :len(s)] = s, True
-    y = np.repeat(np.array(labels)[:, None], longest, 1)
-    weight = np.where(np.array(labels) == 1, 0.5 / max(1, sum(labels)), 0.5 / max(1, n - sum(labels)))
-    weight = weight / np.array([len(s) for s in sequences])
+    each = [np.full(len(s), y) if np.ndim(y) == 0 else np.asarray(y) for s, y in zip(sequences, labels)]
+    of = np.array(documents if documents is not None else [int(2 * y.sum() >= len(y)) for y in each])
+    balance = np.where(of == 1, 0.5 / max(1, of.sum()), 0.5 / max(1, len(of) - of.sum()))
+    groups = _groups(sequences, each, [b / len(s) for b, s in zip(balance, sequences)])
     theta = np.zeros(N_FEATURES + 6)
+    if switching is not None:
+        theta[N_FEATURES:N_FEATURES + 4] = np.ravel(switching)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, rounds + 1):
-        u, t, s0 = theta[:N_FEATURES], theta[N_FEATURES:N_FEATURES + 4].reshape(2, 2), theta[-2:]
-        unary = np.stack([np.zeros((n, longest)), x @ u], 2)
-        alpha, beta = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
-        alpha[:, 0] = unary[:, 0] + s0
-        for k in range(1, longest):
-            nxt = np.logaddexp.reduce(alpha[:, k - 1, :, None] + t, axis=1) + unary[:, k]
-            alpha[:, k] = np.where(real[:, k, None], nxt, alpha[:, k - 1])
-        for k in range(longest - 2, -1, -1):
-            prev = np.logaddexp.reduce(t + (unary[:, k + 1] + beta[:, k + 1])[:, None, :], axis=2)
-            beta[:, k] = np.where(real[:, k + 1, None], prev, 0)
-        z = np.logaddexp.reduce(alpha[:, -1], axis=1)
-        p1 = np.exp(alpha[:, :, 1] + beta[:, :, 1] - z[:, None]) * real
-        diff = ((y == 1) * real - p1) * weight[:, None]
-        grad = np.zeros_like(theta)
-        grad[:N_FEATURES] = np.einsum("ij,ijk->k", diff, x)
-        pair = (alpha[:, :-1, :, None] + t + (unary[:, 1:] + beta[:, 1:])[:, :, None, :] - z[:, None, None, None])
-        pair = np.exp(pair) * real[:, 1:, None, None]
-        for a in (0, 1):
-            for b in (0, 1):
-                seen = ((y[:, :-1] == a) & (y[:, 1:] == b)) * real[:, 1:]
-                grad[N_FEATURES + 2 * a + b] = ((seen - pair[:, :, a, b]) * weight[:, None]).sum()
-        for a in (0, 1):
-            first = np.exp(alpha[:, 0, a] + beta[:, 0, a] - z)
-            grad[-2 + a] = (((y[:, 0] == a) - first) * weight).sum()
-        grad -= l2 * theta
+        grad = sum(_gradient(theta, g) for g in groups) - l2 * theta
+        if switching is not None:
+            grad[N_FEATURES:N_FEATURES + 4] = 0
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta = theta + rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
     t = theta[N_FEATURES:N_FEATURES + 4]
@@ -185,6 +232,31 @@ def fit_crf(sequences: list[np.ndarray], labels: list[int], rounds: int = FIT_RO
                (float(theta[-2]), float(theta[-1])))
 
 
+def agreeing(labels: np.ndarray, scores: np.ndarray, words: np.ndarray, content: bool,
+             min_share: float = MIN_CONTENT_SHARE) -> np.ndarray:
+    """``labels`` with as few lines changed as put the content share on the document's side, lowest score for theirs first."""
+    labels, total = labels.copy(), words.sum()
+    share = words[labels == 1].sum()
+    for i in np.argsort(-scores if content else scores, kind="stable"):
+        if (share >= min_share * total) == content:
+            break
+        if labels[i] != content:
+            labels[i] = int(content)
+            share += words[i] if content else -words[i]
+    return labels
+
+
+def fit_lines(sequences: list[np.ndarray], documents: list[int], words: list[list[int]],
+              rounds: int = LABEL_ROUNDS) -> Crf:
+    """A field over lines out of labels of documents (see above); ``words`` are the word counts of the lines."""
+    crf, counts = default_weights(), [np.array(w) for w in words]
+    for _ in range(rounds):
+        labels = [agreeing(viterbi(s, crf), s @ np.array(crf.unary), w, bool(d))
+                  for s, w, d in zip(sequences, counts, documents)]
+        crf = fit_crf(sequences, labels, documents=documents, switching=default_weights().transitions)
+    return crf
+
+
 # A sampled document has at most this many bytes, which bounds what the fit
 # gathers; decoding always takes whole texts of any length.
 MAX_FIT_BYTES = 50_000
@@ -198,15 +270,17 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_FIT_DOCS) -> C
     rows = (docs.select("doc_id", "text").where(F.octet_length("text") <= MAX_FIT_BYTES)
             .join(F.broadcast(chosen), "doc_id").select("_quality", "text")
             .orderBy(F.xxhash64("text"), "text").limit(max_docs).toLocalIterator())
-    sequences, y = [], []
+    sequences, y, words, room = [], [], [], MAX_FIT_LINES
     for row in rows:
         rules = describe(row["text"])
-        if len(rules.features):
+        if 0 < len(rules.features) <= room:
+            room -= len(rules.features)
             sequences.append(rules.features)
+            words.append(rules.lines)
             y.append(int(row["_quality"] > 0))
     if len(set(y)) < 2:
         return default_weights()
-    return fit_crf(sequences, y)
+    return fit_lines(sequences, y, words)
 
 
 def judge(docs: DataFrame, crf: Crf, min_share: float = MIN_CONTENT_SHARE,
