@@ -40,7 +40,7 @@ def test_day_slice_prunes_partitions_and_pushes_filters(spark):
 
 def test_decode_reads_only_needed_columns(spark):
     p = _plan(Q["j3_decode_keys"](spark, SF_ORACLE))
-    assert "ReadSchema: struct<trip_id:bigint,payment_type_id:int,company_id:int>" in p
+    assert "ReadSchema: struct<trip_id:bigint,payment_type_id:bigint,company_id:bigint>" in p
 
 
 @pytest.mark.parametrize("name", ["g1_trips_per_company", "g5_taxis_per_company", "a2_pickup_areas"])

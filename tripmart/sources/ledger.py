@@ -65,16 +65,22 @@ def _publish(spark: SparkSession, folder: str, name: str, content: dict, replace
     _rename(spark, hidden, f"{folder}/{name}", replace)
 
 
+def _pointer_folder(folder: str) -> str:
+    """Below a name that Spark's readers skip, so the folder itself can be read as a table."""
+    return f"{folder}/_pointer"
+
+
 def write_pointer(spark: SparkSession, folder: str, content: dict) -> None:
-    _publish(spark, folder, "current.json", content, replace=True)
+    _publish(spark, _pointer_folder(folder), "current.json", content, replace=True)
 
 
 def read_pointer(spark: SparkSession, folder: str) -> dict | None:
     """What ``write_pointer`` wrote last, None if it never did; an unreadable pointer is an error."""
-    fs, target = _file_system(spark, f"{folder}/current.json")
+    path = f"{_pointer_folder(folder)}/current.json"
+    fs, target = _file_system(spark, path)
     if not fs.exists(target):
         return None
-    return json.loads(spark.read.text(f"{folder}/current.json", wholetext=True).first()[0])
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
 def commits(spark: SparkSession, base: str) -> list[dict]:
