@@ -210,23 +210,58 @@ def test_g8_describe_matches_pandas(spark):
         assert math.isclose(got[ours], want[theirs], rel_tol=1e-12), ours
 
 
-@pytest.mark.parametrize("range_rows", [50, 10**6])
-def test_g8_quantiles_both_paths_match_pandas(spark, monkeypatch, range_rows):
+@pytest.mark.parametrize("bins", [2, 1024])
+def test_g8_quantiles_match_pandas_for_any_bins(spark, monkeypatch, bins):
     import random
 
     import pandas as pd
-
-    from tripmart.operators import _plan
-    monkeypatch.setattr(_plan, "ROWS_PER_RANGE", range_rows)
+    monkeypatch.setattr(profile, "BINS", bins)
     random.seed(7)
     a = [float(random.randint(0, 50)) for _ in range(500)]
     b = [random.random() * 100 for _ in range(300)] + [None] * 200
-    df = spark.createDataFrame(list(zip(a, b)), "x double, y double")
-    got = {r.column_name: r for r in profile.exact_quantiles(df, ["x", "y"]).collect()}
-    for col, vals in (("x", a), ("y", b)):
+    c = [random.choice((-1, 0, 1)) * 10.0 ** random.randint(-300, 300) for _ in range(500)]
+    df = spark.createDataFrame(list(zip(a, b, c)), "x double, y double, z double")
+    got = {r.column_name: r for r in profile.exact_quantiles(df, ["x", "y", "z"]).collect()}
+    for col, vals in (("x", a), ("y", b), ("z", c)):
         s = pd.Series(vals, dtype="float64")
-        for q, c in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
-            assert math.isclose(got[col][c], s.quantile(q), rel_tol=1e-12), (col, c)
+        for q, name in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75")):
+            assert math.isclose(got[col][name], s.quantile(q), rel_tol=1e-12), (col, name)
+
+
+def test_g8_quantiles_of_edge_values(spark):
+    inf, nan = math.inf, math.nan
+    rows = [(5e-324, -inf, 1.0, None), (1e-323, -1.0, nan, None), (1.5e-323, 0.0, nan, None), (2e-323, inf, nan, None),
+            (2.5e-323, inf, nan, None)]
+    df = spark.createDataFrame(rows, "tiny double, ends double, nans double, none double")
+    got = {r.column_name: r for r in profile.exact_quantiles(df, df.columns).collect()}
+    assert set(got) == {"tiny", "ends", "nans"}                     # no value, no row
+    assert tuple(got["tiny"])[1:] == (1e-323, 1.5e-323, 2e-323)
+    assert got["ends"].q25 == -1.0 and got["ends"].q50 == 0.0
+    assert all(math.isnan(q) for q in tuple(got["nans"])[1:])        # the largest value, as in Spark's order
+
+
+def test_g8_quantiles_sort_nothing(spark, monkeypatch):
+    """Every pass is a hash aggregation: no sort, no range partitioning."""
+    import contextlib
+    import io
+    plans = []
+    histogram = profile._histogram
+
+    def seen(values, brackets):
+        real = type(values).collect
+
+        def collect(self):
+            with contextlib.redirect_stdout(io.StringIO()) as buf:
+                self.explain()
+            plans.append(buf.getvalue())
+            return real(self)
+        with monkeypatch.context() as m:
+            m.setattr(type(values), "collect", collect)
+            return histogram(values, brackets)
+
+    monkeypatch.setattr(profile, "_histogram", seen)
+    profile.exact_quantiles(spark.range(5000).selectExpr("id * 0.37 AS x"), "x")
+    assert plans and all("HashAggregate" in p and "Sort" not in p and "rangepartitioning" not in p for p in plans)
 
 
 def test_g8_describe_text_mode_ties_by_value(spark):

@@ -641,7 +641,8 @@ def _g8_numeric_sql() -> str:
 
 @query("g8_describe_numeric", _g8_numeric_sql())
 def g8_describe_numeric(spark, sf_dir):
-    return profile.describe_numeric(_star(spark, sf_dir).trips, NUMERIC_PROFILE, mean_scale=3, digits=6)
+    return profile.describe_numeric(_star(spark, sf_dir).trips, NUMERIC_PROFILE, mean_scale=3, digits=6,
+                                    stored=True)
 
 
 def _g8_text_sql() -> str:
