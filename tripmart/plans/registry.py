@@ -20,6 +20,7 @@ from ..functions import (days_back, exact_sum, extension, hour_floor, hour_of_da
 from ..operators import analytics as an
 from ..operators import clean as cl
 from ..operators import dims, profile, star
+from ..operators.distinct import distinct_from_bitmaps
 from ..operators.weather import weather_extras, weather_rows
 from ..schemas import (PAYMENT_TYPE_MASTER_SCHEMA, PLAYLIST_SCHEMA,
                        RAW_TRIP_FIELDS, TRIP_RENAMES)
@@ -29,6 +30,7 @@ from ..sources.literal import literal_rows
 from ..tables import read_table
 from . import sql as sqltext
 from . import standins as si
+from . import taxi_days
 from .oracle import with_views
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +199,27 @@ def g5_taxis_per_company(spark, sf_dir):
     return an.taxis_per_company(_full(spark, sf_dir), 8)
 
 
+@query("g5_taxis_from_day_bitmaps", with_views(["trips"], f"""
+SELECT company, CAST(COUNT(DISTINCT taxi_id) AS BIGINT) AS taxi_count,
+  CAST(COUNT(DISTINCT CASE WHEN CAST(trip_start_timestamp AS DATE) >= DATE '{SLICE_DAY}' THEN taxi_id END) AS BIGINT)
+    AS later_taxi_count
+FROM trips WHERE company IS NOT NULL GROUP BY company"""))
+def g5_taxis_from_day_bitmaps(spark, sf_dir):
+    """G5 from stored days: the trips are delivered in three spans of days, the
+    second of them twice, and companies are counted over all days and from a day on."""
+    s, base = _star(spark, sf_dir), scratch_path(spark, "taxi-days")
+    day, mid = F.col("trip_date"), F.lit(SLICE_DAY).cast("date")
+    spans = (day < mid, day == mid, day > mid)
+    for span in (spans[0], spans[1], spans[1], spans[2]):
+        taxi_days.add_days(s.facts.where(span), base)
+    days = taxi_days.read_days(spark, base)
+    every = distinct_from_bitmaps(days, ["company_id"], "taxi_count")
+    later = distinct_from_bitmaps(days.where(day >= mid), ["company_id"], "later_taxi_count")
+    return (s.company.join(every, "company_id").join(later, "company_id", "left")
+            .select("company", "taxi_count", F.coalesce("later_taxi_count", F.lit(0).cast("bigint"))
+                    .alias("later_taxi_count")))
+
+
 # ---------------------------------------------------------------- J: joins
 
 @query("j1_encode_keys", with_views(["facts"], f"SELECT {_cols(FACT_COLS)} FROM facts"))
