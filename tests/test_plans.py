@@ -61,15 +61,16 @@ def test_workday_filter_prunes_fact_partitions_dynamically(spark):
 
 
 def test_dimensions_over_the_bound_use_shuffle_joins_with_same_answers(spark, monkeypatch):
-    """The other way beyond the broadcast bound: with the bound at 0 rows and
+    """The other way beyond the broadcast bound: with the bound below any table and
     automatic broadcasting off, the star joins become sort-merge joins and
     every question still gives the same rows."""
+    from tripmart.operators import _plan as _plan_helpers
     from tripmart.operators import analytics as an
     from tripmart.plans import standins as si
     broadcast_star = si.load_star(spark, SF_ORACLE)
     want = {f.__name__: sorted(map(tuple, f(broadcast_star.full()).collect()))
             for f in (an.trips_per_company, an.taxis_per_company, an.trips_per_weekday, an.rain_by_hour)}
-    monkeypatch.setattr(si, "MAX_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(_plan_helpers, "MAX_BROADCAST_BYTES", -1)
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -83,6 +84,20 @@ def test_dimensions_over_the_bound_use_shuffle_joins_with_same_answers(spark, mo
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_broadcast_bound_counts_bytes_not_rows(spark):
+    from tripmart.operators._plan import broadcast_if_small, row_bytes
+    few_long = spark.range(10).selectExpr("id", "repeat('x', 1000) AS t", "CAST(repeat('y', 50) AS binary) AS b",
+                                          "array(id, id) AS a", "CAST(NULL AS string) AS n")
+    size = few_long.select(row_bytes(few_long.schema).alias("s")).first().s
+    assert 16 * 5 + 1000 + 50 < size < 1300
+    big = spark.range(1000)
+    for bound, hinted in ((10 * 1300, True), (10 * 1000, False)):
+        joined = big.join(broadcast_if_small(few_long, bound), "id")
+        assert ("strategy=broadcast" in joined._jdf.queryExecution().analyzed().toString()) is hinted
+    assert "strategy=broadcast" in big.join(broadcast_if_small(few_long.where("id < 0")), "id")._jdf.queryExecution(
+        ).analyzed().toString()
+
+
 def test_hot_user_is_salted_when_adaptive_skew_handling_is_off(spark):
     """Without AQE skew-join splitting, the events-customer join salts the
     user key (customer repeated per salt); the trips are the same rows."""

@@ -3,25 +3,43 @@ stages, and ordered positions without a single-partition window."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DateType, MapType, NumericType, StructType,
+                               TimestampNTZType, TimestampType)
 
 from ..session import scratch_path
 
-# A dimension is broadcast only when a count proves it holds at most this
-# many rows; beyond it the planner keeps a shuffle join.
-MAX_BROADCAST_ROWS = 2_000_000
+# A dimension is broadcast only when its measured rows take at most this many
+# bytes; beyond it the planner keeps a shuffle join.
+MAX_BROADCAST_BYTES = 256 << 20
 
 
-def broadcast_if_small(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only when it provably has at most ``max_rows`` rows.
+def row_bytes(schema: StructType) -> Column:
+    """Bytes a row takes in memory: 16 a column and the length of texts and binaries.
+    Nested columns count by their JSON text."""
+    size = F.lit(16 * len(schema.fields)).cast("long")
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)):
+            continue
+        if isinstance(f.dataType, (ArrayType, MapType, StructType)):
+            c = F.to_json(F.struct(c))
+        elif not isinstance(f.dataType, BinaryType):
+            c = c.cast("string")
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    return size
 
-    The check is ``limit(max_rows + 1).count()``: it stops reading once the
-    bound is exceeded.  Call it on stored or literal tables (cheap to count),
+
+def broadcast_if_small(dim: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``dim`` only when its rows are measured to take at most ``max_bytes``
+    (``MAX_BROADCAST_BYTES``).
+
+    The measure is one aggregation, combined in the tasks.  Call it on stored or literal tables,
     not on a derived plan that would be computed twice.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    size = dim.agg(F.sum(row_bytes(dim.schema)).alias("b")).first()["b"] or 0
+    return F.broadcast(dim) if size <= (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes) else dim
 
 
 # Copies of the small side when a join salts its keys by hand.

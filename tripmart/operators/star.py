@@ -3,7 +3,7 @@
 All joins are inner equi-joins, as in the reference.  Keys are non-null
 after cleaning, so Spark's "NULL never matches" and pandas' "NULL matches
 NULL" agree (D2).  Dimensions go through ``broadcast_if_small`` unless the
-caller has already sized them (``sized=True``): a counted dimension is
+caller has already sized them (``sized=True``): a dimension of few bytes is
 broadcast, anything larger keeps a shuffle join.
 """
 

@@ -28,6 +28,7 @@ from ..session import scratch_path
 from ..sources import files, html
 from ..sources.literal import literal_rows
 from ..tables import read_table
+from . import catalog
 from . import sql as sqltext
 from . import standins as si
 from . import taxi_days
@@ -132,6 +133,21 @@ def a3_weekday_rides(spark, sf_dir):
     return sqltext.weekday_rides(spark, _star(spark, sf_dir))
 
 
+@query("s13_second_session", with_views(["trips_full"], """
+SELECT company, pickup_community_name, COUNT(*) AS rides,
+  CAST(SUM(CAST(trip_total AS DECIMAL(18,2))) AS DOUBLE) AS income
+FROM trips_full GROUP BY company, pickup_community_name"""))
+def s13_second_session(spark, sf_dir):
+    """One session publishes the star as catalog tables, another answers from
+    them by name; joins by statistics."""
+    base = scratch_path(spark, "catalog")
+    database = "tripmart_" + base.rsplit("-", 1)[1]
+    catalog.publish(spark, _star(spark, sf_dir), base, database)
+    full = catalog.open_star(spark.newSession(), database).full()
+    return full.groupBy("company", "pickup_community_name").agg(
+        F.count(F.lit(1)).alias("rides"), exact_sum("trip_total").cast("double").alias("income"))
+
+
 # ---------------------------------------------------------------- G: chart frames over trips_full
 
 @query("g1_trips_per_company", with_views(["trips_full"], """

@@ -13,8 +13,8 @@ model so every operator runs on data that grows with the scale factor:
 ``load_star`` writes the modelled tables once per session below the
 shared checkpoint folder — facts partitioned by ``trip_date`` like the
 reference's day files — and later questions read them back.  Reading
-stored tables gives the planner true sizes, and the dimension counts
-recorded at build time decide which dimensions are broadcast.
+stored tables gives the planner true sizes, and the dimensions' bytes
+measured at build time decide which of them are broadcast.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum
 from ..functions.time import hour_floor, trip_date
-from ..operators._plan import MAX_BROADCAST_ROWS, skew_safe_join
+from ..operators._plan import broadcast_if_small, skew_safe_join
 from ..operators.dims import build_masters, date_dimension_for
 from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
@@ -204,11 +204,6 @@ def _store(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     return spark.read.parquet(path)
 
 
-def _sized(dim: DataFrame) -> DataFrame:
-    """Broadcast a stored dimension only if its counted rows are within the bound."""
-    return F.broadcast(dim) if dim.count() <= MAX_BROADCAST_ROWS else dim
-
-
 _LANDINGS: dict = {}
 
 
@@ -250,14 +245,14 @@ def _build_star(spark: SparkSession, sf_dir: str) -> Star:
     over the trips and are stored side by side; the facts need both."""
     job = inheritable_thread_target(spark)   # jobs keep the caller's local properties and tags
     with ThreadPoolExecutor(max_workers=4, thread_name_prefix="star") as pool:
-        wx = pool.submit(job(lambda: _sized(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))))
-        areas = pool.submit(job(lambda: _sized(_store(community_areas(spark, sf_dir), "star-areas"))))
+        wx = pool.submit(job(lambda: broadcast_if_small(_store(weather_extras(weather(spark, sf_dir)), "star-weather"))))
+        areas = pool.submit(job(lambda: broadcast_if_small(_store(community_areas(spark, sf_dir), "star-areas"))))
         t = _store(trips(spark, sf_dir), "star-trips")
         # The calendar spans the trips, whatever their years: the star's inner join loses none.
-        dates = pool.submit(job(lambda: _sized(_store(date_dimension_for(t, "trip_start_timestamp"), "star-date"))))
+        dates = pool.submit(job(lambda: broadcast_if_small(_store(date_dimension_for(t, "trip_start_timestamp"), "star-date"))))
         masters = build_masters(t, {"company": "company_id", "payment_type": "payment_type_id"})
-        company = pool.submit(job(lambda: _sized(_store(masters["company"], "star-company"))))
-        payment = pool.submit(job(lambda: _sized(_store(masters["payment_type"], "star-payment-type"))))
+        company = pool.submit(job(lambda: broadcast_if_small(_store(masters["company"], "star-company"))))
+        payment = pool.submit(job(lambda: broadcast_if_small(_store(masters["payment_type"], "star-payment-type"))))
         company, payment = company.result(), payment.result()
         facts = encode_keys(t, payment, company, sized=True).withColumn(
             "trip_date", trip_date("trip_start_timestamp"))

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators._plan import broadcast_if_small
 from ..operators.dims import date_dimension_for
 from ..operators.star import decode_keys
 from ..operators.weather import weather_extras
 from ..schemas import COMPANY_MASTER_SCHEMA, PAYMENT_TYPE_MASTER_SCHEMA
 from ..sources import files, ledger
-from .standins import Star, _sized
+from .standins import Star
 
 
 def warehouse_paths(base: str) -> dict:
@@ -38,16 +39,16 @@ def star_from_warehouse(spark: SparkSession, base: str, areas: DataFrame,
 
     ``areas`` is the community-area dimension (``area_code, community_name``),
     e.g. ``sources.html.html_table_rows`` over the page table.  Dimensions
-    are counted and broadcast only within the bound.
+    are measured and broadcast only within the bound.
     """
     p = warehouse_paths(base)
     facts = ledger.read_facts(spark, base.rstrip("/"))
     if facts is None:
         raise FileNotFoundError(f"no committed facts below {base}")
-    company = _sized(files.read_master(spark, p["company"], COMPANY_MASTER_SCHEMA))
-    payment = _sized(files.read_master(spark, p["payment_type"], PAYMENT_TYPE_MASTER_SCHEMA))
-    weather = _sized(weather_extras(spark.read.parquet(p["weather"]).drop("day")))
-    areas = _sized(areas.select("area_code", "community_name"))
-    dates = _sized(date_dim if date_dim is not None else date_dimension_for(facts, "trip_start_timestamp"))
+    company = broadcast_if_small(files.read_master(spark, p["company"], COMPANY_MASTER_SCHEMA))
+    payment = broadcast_if_small(files.read_master(spark, p["payment_type"], PAYMENT_TYPE_MASTER_SCHEMA))
+    weather = broadcast_if_small(weather_extras(spark.read.parquet(p["weather"]).drop("day")))
+    areas = broadcast_if_small(areas.select("area_code", "community_name"))
+    dates = broadcast_if_small(date_dim if date_dim is not None else date_dimension_for(facts, "trip_start_timestamp"))
     trips = decode_keys(facts, company, payment, sized=True)
     return Star(trips, facts, weather, company, payment, areas, dates)
