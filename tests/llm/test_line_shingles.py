@@ -46,3 +46,13 @@ def test_lines_against_all_pairs_of_whole_sets(spark):
     got = {r["doc_id"]: r["class_doc"] for r in line_dedup.classes(docs).collect()}
     assert sum(got[i] != expected[i] for i in got) <= 0.03 * len(got)     # pairs the bands miss
     assert len(got) > len(set(expected.values())) > 40
+
+
+def test_hashes_are_those_of_the_shingles(spark):
+    rnd = random.Random(7)
+    lines = ["".join(rnd.choice("ab é数😀\r ") for _ in range(n)) for n in [1, 9, 10, 11, 41, 42, 73, 74, 4000]]
+    docs = spark.createDataFrame([(i, -i, x) for i, x in enumerate(lines)], "h1 long, h2 long, line string")
+    got = sorted(map(tuple, line_dedup.shingle_hashes(docs).collect()))
+    want = docs.select("h1", "h2", F.explode(line_dedup.shingles(F.col("line"))).alias("s")).select(
+        "h1", "h2", F.xxhash64("s"))
+    assert got == sorted(map(tuple, want.collect())) and len(got) == sum(len(_every(x)) for x in lines)

@@ -49,18 +49,37 @@ def _masks(n: int) -> list[int]:
     return [int.from_bytes(hashlib.md5(str(i).encode()).digest()[:8], "big", signed=True) for i in range(n)]
 
 
-def shingles(line: Column, size: int = SHINGLE) -> Column:
-    """``size`` characters from every character on, as far as the line has them; else the line.
+def _pieces(line: Column, size: int) -> Column:
+    """Pieces of which each shingle of the line is in one, none for a line without a whole one.
 
-    Finding a place in UTF-8 walks there from the start, so a line is cut into
-    pieces first: the cost stays linear in the line.
+    Finding a place in UTF-8 walks there from the start, so shingles are cut from
+    pieces: the cost stays linear in the line.
     """
-    pieces = F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{size},{PIECE + size - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+    return F.regexp_extract_all(line, F.lit(rf"(?s)(?=(.{{{size},{PIECE + size - 1}}})).{{1,{PIECE}}}"), F.lit(1))
+
+
+def shingles(line: Column, size: int = SHINGLE) -> Column:
+    """``size`` characters from every character on, as far as the line has them; else the line."""
+    pieces = _pieces(line, size)
     found = F.flatten(F.transform(pieces, lambda p: F.transform(
         F.sequence(F.lit(1), F.length(p) - (size - 1)), lambda i: F.substring(p, i, F.lit(size)))))
     return F.when(F.size(pieces) > 0, found).otherwise(F.array(line))
 
 
+def shingle_hashes(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``h1, h2, s``: a row with the hash of each of the line's ``shingles``.
+
+    Pieces and places in them are rows, not arrays in a lambda: cutting and hashing
+    run in generated code, and no line's shingles are held at once.
+    """
+    pieces = _pieces(F.col("line"), size)
+    whole = F.array("line")
+    cut = distinct.select("h1", "h2", F.explode(F.when(F.size(pieces) > 0, pieces).otherwise(whole)).alias("p"))
+    last = F.greatest(F.length("p") - (size - 1), F.lit(1))
+    return cut.select("h1", "h2", "p", F.explode(F.sequence(F.lit(1), last)).alias("at")).select(
+        "h1", "h2", F.xxhash64(F.substring(F.col("p"), F.col("at"), F.lit(size))).alias("s"))
+
+
 def _minimum(r: int, mask: int) -> Column:
     """Smallest hash in one of many orders: rows of a band look at different bits (a
     rotation), bands at different values of them (a mask)."""
@@ -84,8 +103,7 @@ def sketches(lines: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFram
     """
     distinct = _bucketed(lines.groupBy("h1", "h2").agg(
         F.first("line").alias("line"), F.min(F.struct("doc_id", "line_no", "row")).alias("first")))
-    hashes = distinct.select("h1", "h2", F.explode(shingles(F.col("line"), size)).alias("s")).select(
-        "h1", "h2", F.xxhash64("s").alias("s"))
+    hashes = shingle_hashes(distinct, size)
     masks = _masks(ROWS * BANDS)
     minima = hashes.groupBy("h1", "h2").agg(
         *[_minimum(i % ROWS, m).alias(f"m{i}") for i, m in enumerate(masks)])
