@@ -51,6 +51,15 @@ def test_links_connect_as_all_pairs_do(spark):
         assert {f: roots.get(f, f) for f in fps} == expected
 
 
+def test_pivot_table_holds_each_distance_once(spark):
+    rnd = random.Random(12)
+    fps = [rnd.getrandbits(64) - (1 << 63) for _ in range(200)] + [0, -1]
+    nodes = spark.createDataFrame([(f,) for f in fps], "fp long")
+    got = {r.fp: list(r.near) for r in simhash.pivot_distances(nodes).collect()}
+    table = [int(p) for p in simhash.pivots()]
+    assert got == {f: [((f & (1 << 64) - 1) ^ p).bit_count() for p in table] for f in fps}
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(100)] + [(500, 600 + i) for i in range(50)] + [(7, 7), (900, 901), (901, 900)]
     roots = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -1,8 +1,8 @@
 """Operator 8: SimHash near-duplicates through pivot distance tables.
 
 Each whole text gets a 64-bit fingerprint of its word shingles.  Distances of
-every distinct fingerprint to a table of reference fingerprints (pivots) are
-its coordinates: by the triangle inequality two fingerprints within
+every distinct fingerprint to a set of reference fingerprints (pivots) are
+its coordinates, computed once and written as a table: by the triangle inequality two fingerprints within
 ``max_bits`` differ by at most ``max_bits`` in every coordinate.  Pairs to
 look at share enough equal bit blocks (of ``max_bits + 2`` blocks, at least
 two must be equal), so nothing within the distance is missed and no pair list
@@ -79,16 +79,22 @@ def block_masks(max_bits: int) -> list[int]:
     return [int(np.uint64(a | b).astype("i8")) for a, b in combinations(parts, 2)]
 
 
-def unit_links(unit: np.ndarray, half: np.ndarray, cross: np.ndarray, fp: np.ndarray, max_bits: int,
-               table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def pivot_distances(nodes: DataFrame, n_pivots: int = PIVOTS) -> DataFrame:
+    """``fp`` and ``near``: its distance to each pivot, a byte each."""
+    distances = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(int(p)))) for p in pivots(n_pivots).view("i8")]
+    hexes = F.concat(*[F.lpad(F.hex(d), 2, "0") for d in distances])
+    return nodes.select("fp", F.unhex(hexes).alias("near"))
+
+
+def unit_links(unit: np.ndarray, half: np.ndarray, cross: np.ndarray, fp: np.ndarray, near: np.ndarray,
+               max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Links that join the fingerprints of each unit, as far as they are not joined yet.
 
-    ``unit``: sorted group numbers; ``cross``: only pairs of different halves
+    ``near``: a row of pivot distances per fingerprint; ``unit``: sorted group numbers; ``cross``: only pairs of different halves
     count there (the others are another unit's).  Rows are ordered by their
     first pivot distance within a unit, so a row leaves once the next one is
     too far.  Every linked pair ends up under one label.
     """
-    near = np.bitwise_count(fp[:, None] ^ table[None, :]).astype("i1")
     order = np.lexsort((near[:, 0], unit))
     unit, half, cross, fp, near = unit[order], half[order], cross[order], fp[order], near[order]
     label = np.arange(len(fp))
@@ -130,26 +136,28 @@ def links(nodes: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS, un
     ``max_bits`` to connect all that any chain of such links connects."""
     ship(nodes.sparkSession)
     masks = block_masks(max_bits)
-    keyed = nodes.select("fp", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))
+    placed = stage(pivot_distances(nodes, n_pivots), "pivot-distances")
+    keyed = placed.select("fp", "near", F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m)) for m in masks]))
                          .alias("block", "part"))
     large = keyed.groupBy("block", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > unit).select(
         "block", "part", F.ceil(F.col("n") / F.lit(unit)).cast("int").alias("halves"))
     dealt = keyed.join(large, ["block", "part"], "left").withColumn("halves", F.coalesce("halves", F.lit(1)))
     dealt = dealt.withColumn("half", F.pmod(F.xxhash64("fp"), F.col("halves").cast("long")).cast("int"))
-    dealt = dealt.select("block", "part", "half", "fp", F.explode(F.sequence(F.lit(0), F.col("halves") - 1)).alias("o"))
+    dealt = dealt.select("block", "part", "half", "fp", "near", F.explode(F.sequence(F.lit(0), F.col("halves") - 1)).alias("o"))
     dealt = dealt.select("block", "part", F.least("half", "o").alias("u"), F.greatest("half", "o").alias("v"),
-                         "half", "fp")
+                         "half", "fp", "near")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, rest = pivots(n_pivots), None
+        rest = None
 
         def linked(t: pa.Table) -> pa.RecordBatch:
             ids = [t.column(c).to_numpy() for c in ("block", "part", "u", "v")]
             new = np.zeros(t.num_rows, bool)
             for c in ids:
                 new[1:] |= c[1:] != c[:-1]
+            near = np.frombuffer(b"".join(t.column("near").to_pylist()), "i1").reshape(t.num_rows, n_pivots)
             a, b = unit_links(np.cumsum(new), t.column("half").to_numpy(), ids[2] != ids[3],
-                              t.column("fp").to_numpy().view("u8"), max_bits, table)
+                              t.column("fp").to_numpy().view("u8"), near, max_bits)
             return pa.RecordBatch.from_arrays([pa.array(a.view("i8")), pa.array(b.view("i8"))], ["a", "b"])
 
         for batch in batches:
