@@ -195,6 +195,34 @@ def test_toxicity_learns_from_its_fold(spark):
     assert both >= 0.8 * toxic and both >= 0.8 * called
 
 
+def test_toxicity_learns_from_whole_texts_of_any_length(spark):
+    """The toxic texts are long, and what makes them so stands at their ends."""
+    calm = " ".join(["quiet rivers run past old stone mills"] * 700)
+    docs = spark.createDataFrame([(i, calm[i:] + (" vile scum" if i % 2 else " kind folk"), "en") for i in range(60)],
+                                 "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    got = toxicity.score(docs, toxicity.train(docs, labels)).collect()
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got)
+    assert all(r["flagged"] == (r["doc_id"] % 2 == 1) for r in got)
+
+
+def test_toxicity_learns_from_every_labelled_text(spark):
+    """Each labelled text of the fold is in one pack, all of it; packs change one model together."""
+    docs = spark.createDataFrame([(i, f"word{i} " + ("foul" if i % 3 == 0 else "fair") + " end" * (i % 5), "en") for i in range(4000)],
+                                 "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 3 = 0 as int) as toxic")
+    rows = toxicity.labelled_rows(docs, labels)
+    packs = toxicity.packed(rows, 3).collect()
+    texts = [t.tobytes() for p in packs for t in np.split(np.frombuffer(p["rows"], "u1"), np.frombuffer(p["ends"], "i8")[:-1])]
+    folded = [i for i in range(4000) if not brute.held_out(i)]
+    want = [toxicity.word_rows(toxicity.alnum_words(f"word{i} " + ("foul" if i % 3 == 0 else "fair") + " end" * (i % 5)), toxicity.Known())
+            .astype("<u2").tobytes() for i in folded]
+    assert len(packs) == 3 and sorted(texts) == sorted(want)
+    assert sum(sum(p["toxic"]) for p in packs) == sum(i % 3 == 0 for i in folded)
+    got = toxicity.score(docs, toxicity.train(docs, labels, pack_docs=1200)).collect()
+    assert all(r["predicted"] == (r["doc_id"] % 3 == 0) for r in got)
+
+
 def test_score_against_plain_loops():
     rng = np.random.default_rng(11)
     model = toxicity.untrained()._replace(
