@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from tests.conftest import local_file
 from tripmart.operators import analytics as an
+from tripmart.plans import standins
 from tripmart.schemas import COMPANY_MASTER_SCHEMA, PLAYLIST_SCHEMA
 from tripmart.sources import files, html
 
@@ -123,3 +124,29 @@ def test_s14_literal_rows_typed_and_empty(spark):
     assert sorted(tuple(r) for r in df.collect()) == [(1, "A"), (2, None)]
     empty = literal_rows(spark, [], COMPANY_MASTER_SCHEMA)
     assert empty.count() == 0 and empty.columns == ["company_id", "company"]
+
+
+def test_rows_are_dealt_by_day_in_bounded_tasks(spark):
+    """A day of half the rows goes to many tasks, small days stay whole; no row is lost, without a day or not."""
+    days = [None] * 30 + ["2024-01-31"] * 1000 + [f"2024-02-{1 + i % 28:02d}" for i in range(970)]
+    df = spark.createDataFrame(list(enumerate(days)), "trip_id long, day string")
+    placed = files.rebalanced(df, "day", rows_per_task=100).select("*", F.spark_partition_id().alias("task")).collect()
+    assert sorted((r["trip_id"], r["day"]) for r in placed) == list(enumerate(days))
+    tasks = {}
+    for r in placed:
+        tasks.setdefault(r["task"], []).append(r["day"])
+    assert max(map(len, tasks.values())) <= 260
+    assert sum("2024-01-31" in t for t in tasks.values()) == 10
+    assert all(sum(d in t for t in tasks.values()) == 1 for d in set(days) - {"2024-01-31"})
+
+
+def test_landing_moves_narrow_rows(spark):
+    """The landed trips are the raw trips, and their text fields are made after the shuffle and the sort."""
+    sf = "/root/testdata/sf0.001"
+    path = standins.load_landing(spark, sf)
+    want = standins.raw_trips(spark, sf)
+    assert sorted(map(str, files.read_trip_json(spark, path).select(*want.columns).collect())) == sorted(map(str, want.collect()))
+    source = standins._raw_source(spark, sf).withColumn("ingest_date", F.to_date("ts"))
+    plan = standins._raw_fields(files.rebalanced(source, "ingest_date").sortWithinPartitions("ingest_date"),
+                                "ingest_date")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("POINT (") < plan.index("Sort [ingest_date")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum
 from ..functions.time import hour_floor, trip_date
-from ..operators._plan import broadcast_if_small, skew_safe_join
+from ..operators._plan import broadcast_if_small, skew_safe_join, stage
 from ..operators.dims import build_masters, date_dimension_for
 from ..operators.star import encode_keys, star_join
 from ..operators.weather import weather_extras
@@ -120,6 +120,15 @@ def community_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select(F.col("n_nationkey").alias("area_code"), F.col("n_name").alias("community_name"))
 
 
+def _raw_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that the raw fields are made of.  The JSON key and the seconds
+    feed several fields: computed once."""
+    e = read_table(spark, sf_dir, "events")
+    e = e.select("event_id", "user_id", "ts", "event_type", "value",
+                 _dropoff_area(F.col("props")).alias("_k"), F.floor(F.col("value") * 10).cast("int").alias("_secs"))
+    return skew_safe_join(e, _customers(spark, sf_dir), "user_id", salt_from=["event_id"])
+
+
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw trip records as the trip service sends them: 23 text fields.
 
@@ -128,11 +137,11 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     area 0; census tracts are missing for views (a dropped field, so those
     rows survive cleaning).
     """
-    e = read_table(spark, sf_dir, "events")
-    # The JSON key and the seconds feed several fields: compute them once.
-    e = e.select("event_id", "user_id", "ts", "event_type", "value",
-                 _dropoff_area(F.col("props")).alias("_k"), F.floor(F.col("value") * 10).cast("int").alias("_secs"))
-    j = skew_safe_join(e, _customers(spark, sf_dir), "user_id", salt_from=["event_id"])
+    return _raw_fields(_raw_source(spark, sf_dir))
+
+
+def _raw_fields(j: DataFrame, *further: str) -> DataFrame:
+    """The text fields of ``_raw_source`` rows and ``further`` columns as they are."""
     v, k, secs = F.col("value"), F.col("_k"), F.col("_secs")
     fmt = "yyyy-MM-dd'T'HH:mm:ss.SSS"
 
@@ -168,7 +177,7 @@ def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         "dropoff_centroid_longitude": dec(F.lit(-87.6).cast("decimal(3,1)") - k * F.lit(0.01).cast("decimal(3,2)"), 9, 6),
         "dropoff_centroid_location": F.concat(F.lit("POINT ("), text(k), F.lit(")")),
     }
-    return j.select(*[cols[f].alias(f) for f in RAW_TRIP_FIELDS])
+    return j.select(*[cols[f].alias(f) for f in RAW_TRIP_FIELDS], *further)
 
 
 @dataclass
@@ -205,19 +214,25 @@ def _store(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
 
 
 _LANDINGS: dict = {}
+# Trips a landing task sorts by day, as narrow rows.
+LANDED_ROWS_PER_TASK = 600_000
 
 
 def load_landing(spark: SparkSession, sf_dir: str) -> str:
     """Land the raw trips once per session and input folder: JSON records,
     one folder per ingest day (S9), as the extract step leaves them.  The
-    cleaning, profiling and streaming questions read these files (S1)."""
+    cleaning, profiling and streaming questions read these files (S1).
+
+    What is shuffled and sorted by day is the narrow rows; the 23 text fields are
+    made last, on the way to the file, and are never moved or sorted."""
     key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         path = _LANDINGS.get(key)
         if path is None:
             path = scratch_path(spark, "landing-trips")
-            raw = raw_trips(spark, sf_dir).withColumn("ingest_date", F.substring("trip_start_timestamp", 1, 10))
-            files.write_raw_json(raw, path)
+            source = stage(_raw_source(spark, sf_dir).withColumn("ingest_date", F.to_date("ts")), "landing-source")
+            by_day = files.rebalanced(source, "ingest_date", LANDED_ROWS_PER_TASK).sortWithinPartitions("ingest_date")
+            files.write_raw_json(_raw_fields(by_day, "ingest_date"), path, rebalance=False)
             _LANDINGS[key] = path
         return path
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..schemas import RAW_TRIP_SCHEMA, WEATHER_JSON_SCHEMA
 from . import ledger
@@ -102,21 +102,46 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by=No
 
 
 def write_raw_json(df: DataFrame, path: str, partition_by: str = "ingest_date",
-                   mode: str = "overwrite") -> None:
-    """Land raw records as JSON, one folder per ingest day, a few files each."""
-    (rebalanced(df, partition_by).write.mode(mode).partitionBy(partition_by)
+                   mode: str = "overwrite", rebalance: bool = True) -> None:
+    """Land raw records as JSON, one folder per ingest day, a few files each
+    (``rebalance=False``: the rows lie by day already)."""
+    if rebalance:
+        df = rebalanced(df, partition_by)
+    (df.write.mode(mode).partitionBy(partition_by)
        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).json(path))
 
 
-def rebalanced(df: DataFrame, date_col: str) -> DataFrame:
-    """Group rows by day before a day-partitioned write, AQE-sized.
+# Rows of a day that one task writes.  The writer sorts a task's rows by day, so they
+# must fit the task's memory whatever the table's size.
+ROWS_PER_TASK = 200_000
+
+
+def rebalanced(df: DataFrame, date_col: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Group rows by day before a day-partitioned write, in tasks of at most about twice ``rows_per_task`` rows.
 
-    The ``rebalance`` hint shuffles by day but lets adaptive execution split
-    a day that is too big for one task (a day with a third of all rows is
-    written by many tasks) and merge small ones: each day folder gets a
-    few right-sized files instead of one file per input task.
+    The days' rows are counted (one row per folder to be written): a day of up to
+    ``rows_per_task`` rows goes to one task, several small days may share it, and a
+    larger day (one with a third of all rows) is dealt evenly over many tasks by a
+    hash of the row.  Each day folder gets a few right-sized files instead of one
+    file per input task.
     """
-    return df.hint("rebalance", date_col)
+    days = df.groupBy(F.col(date_col).alias("_day")).agg(F.count(F.lit(1)).alias("_n")).collect()
+    total = sum(r["_n"] for r in days)
+    if not total:
+        return df
+    step = min(rows_per_task, -(-total // df.sparkSession.sparkContext.defaultParallelism))
+    places, before, n_tasks = [], 0, 1
+    for day, n in sorted(((r["_day"], r["_n"]) for r in days), key=lambda d: (d[0] is not None, d[0])):
+        tasks = -(-n // rows_per_task)
+        places.append((day, before // step, tasks))
+        n_tasks, before = max(n_tasks, before // step + tasks), before + n
+    from .literal import literal_rows
+    dealt = F.broadcast(literal_rows(df.sparkSession, places, StructType(
+        [StructField("_day", df.schema[date_col].dataType), StructField("_first", IntegerType()), StructField("_tasks", IntegerType())])))
+    share = F.pmod(F.xxhash64(*[f"`{c}`" for c in df.columns]), F.col("_tasks")).cast("int")
+    placed = df.join(dealt, F.col(f"`{date_col}`").eqNullSafe(F.col("_day")), "left").withColumn(
+        "_task", F.coalesce(F.col("_first") + share, F.lit(0)))
+    return placed.repartitionById(n_tasks, F.col("_task")).select(*[f"`{c}`" for c in df.columns])
 
 
 def write_dated_facts(df: DataFrame, path: str, date_col: str = "trip_date",
