@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import trip_date
-from ..operators._plan import stage
+from ..operators._plan import broadcast_if_small, stage
 from ..operators.clean import clean_trips
 from ..operators.dims import grow_master
 from ..operators.star import encode_keys
@@ -154,7 +154,9 @@ def run_daily_etl(spark: SparkSession, landing: str, base: str, max_files_per_tr
         if ledger.has_commit(known, writer, batch_id):
             return
         # Landed text is parsed once; every step below reads columns of the written copy.
-        raw = stage(df.join(ledger.committed_files(spark, base, known), ["file", "size"], "left_anti"), "landed-batch")
+        # A row per file: broadcast, so that no trip is shuffled to find what is committed.
+        done = broadcast_if_small(ledger.committed_files(spark, base, known))
+        raw = stage(df.join(done, ["file", "size"], "left_anti"), "landed-batch")
         if raw.isEmpty():
             return
         trips = clean_trips(raw.drop("file", "size"))
