@@ -56,3 +56,59 @@ def test_hashes_are_those_of_the_shingles(spark):
     want = docs.select("h1", "h2", F.explode(line_dedup.shingles(F.col("line"))).alias("s")).select(
         "h1", "h2", F.xxhash64("s"))
     assert got == sorted(map(tuple, want.collect())) and len(got) == sum(len(_every(x)) for x in lines)
+
+
+def _join_rows(df):
+    """Output rows of every join that ran for ``df``, collected before."""
+    def walk(plan):
+        if plan.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(plan.executedPlan())
+        if "QueryStage" in plan.getClass().getSimpleName():
+            return walk(plan.plan())
+        own = [plan.metrics().apply("numOutputRows").value()] if "Join" in plan.nodeName() else []
+        children = plan.children()
+        return own + [n for i in range(children.size()) for n in walk(children.apply(i))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_a_pair_is_made_once_for_all_shingles_it_shares(spark):
+    rnd = random.Random(12)
+    shared = rnd.sample(range(1 << 40), 100)
+    sets = [(i, shared[:95] + [rnd.randrange(1 << 40) for _ in range(5)]) for i in range(40)]
+    table = spark.createDataFrame(sets, "id long, set array<long>")
+    known = spark.createDataFrame([(i, i, True) for i, _ in sets], "id long, root long, unlike boolean")
+    places = line_dedup.prefixes(table, 0.8).join(known, "id").join(line_dedup.parities(table), "id").localCheckpoint()
+    pairs = line_dedup.further_pairs(places, 0.8)
+    assert len(pairs.collect()) == 40 * 39 / 2
+    assert 0 < max(_join_rows(pairs)) <= 2 * 40 * 39 / 2              # either of both may ask
+
+
+def test_lines_unlike_their_hub_meet_where_they_share_an_edit(spark):
+    """Copies of a hub, some too far from it: similar pairs with an unlike line are all tried, few others."""
+    rnd = random.Random(13)
+    hub = "".join(rnd.choice("abcdefghij ") for _ in range(400))
+    rows = [(0, 0, hub)]
+    for i in range(1, 41):
+        line = list(hub)
+        for _ in range(rnd.randint(1, 9)):
+            line[rnd.randrange(len(line))] = "z"
+        rows.append((len(rows), i, "".join(line)))
+        for _ in range(rnd.randint(0, 2)):
+            rows.append((len(rows), i, "".join(line[:-rnd.randint(1, 20)])))
+    have = {i: set(_every(x)) for i, _, x in rows}
+
+    def alike(a, b):
+        return len(have[a] & have[b]) >= 0.8 * len(have[a] | have[b])
+
+    unlike = {i: not alike(i, 0) for i in have}
+    root = {i: r if unlike[i] else 0 for i, r, _ in rows}
+    pairs = spark.createDataFrame([(i, 0, u) for i, u in unlike.items() if i], "line long, hub long, unlike boolean")
+    texts = spark.createDataFrame([(i, x) for i, _, x in rows], "id long, line string")
+    sets = line_dedup.differences(pairs, texts).localCheckpoint()
+    known = sets.select("id", "line", "unlike").join(spark.createDataFrame(list(root.items()), "line long, root long"), "line")
+    places = line_dedup.prefixes(sets, 0.8).join(known.join(line_dedup.parities(sets), "id"), "id")
+    got = {(r["id"], r["low"]) for r in line_dedup.further_pairs(places, 0.8).collect()}
+    other = {(a, b) for a in have for b in have if a > b > 0 and root[a] != root[b] and (unlike[a] or unlike[b])}
+    similar = {p for p in other if alike(*p)}
+    assert similar and similar <= got <= other and len(got) < len(other) / 2

@@ -11,12 +11,12 @@ distributed union-find makes components, and the line with the smallest
 Within a band's bucket every line is compared with the bucket's most popular line,
 the one whose bands are shared most often: of a family of edited copies that is the
 line they were made from.  These links make components.  A line that is not similar
-to its bucket's popular line then meets the lines of other components in such
-buckets, so that no link between two components is missed, by a prefix filter:
-similar sets share one of the rarest shingles of each, and the more sizes are alike
-the fewer of these need a look.  What an edited copy shares with the line it was
-made from is common, hence last, so copies meet only where they share an edit: a
-bucket costs one comparison a line and few more, whatever its size.  At the
+to its bucket's popular line then meets the lines of other components that have this
+hub too, so that no link between two components of a bucket is missed, by a prefix
+filter over the shingles in which line and hub differ: two lines of a hub differ in
+what just one of them differs in from it, so similar ones share many of the rarest of
+these.  What copies of the hub have from it takes no part, so they meet only where
+they share an edit, and a pair is made once for all the shingles it shares.  At the
 threshold itself the bands miss ``(1 - 0.8^3)^7`` = 0.7 % of the pairs, at 0.9 one
 in 15,000.
 
@@ -42,6 +42,7 @@ BANDS = 7
 THRESHOLD = 0.8
 PIECE = 32                  # places of a line whose shingles are cut from one piece
 WORDS = 4                   # longs of parities that a line is told apart by
+BEFORE = 4                  # places before a shared shingle that tell whether it is the first
 SLACK = 1e-9                # bounds on counts stay safe from rounding
 
 
@@ -164,21 +165,46 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float, size: int = S
         F.size("set") + F.size("low_set") - shared)).alias("similar"))
 
 
-def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """``id, n, s, at``: the shingles of each line, rarest first, that a similar line may
-    share first, their places in that order and the line's number of shingles.
+def differences(pairs: DataFrame, texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``id, line, unlike, n, set`` for ``pairs(line, hub, unlike)``: an id of the pair, the line's number of
+    shingles and the shingles that just one of line and hub has.  Lines of different hubs share none."""
+    both = pairs.join(texts.toDF("line", "text"), "line").join(texts.toDF("hub", "hub_text"), "hub").select(
+        *pairs.columns, hashed_shingles(F.col("text"), size).alias("own"),
+        hashed_shingles(F.col("hub_text"), size).alias("its"))
+    differ = F.concat(F.array_except("own", "its"), F.array_except("its", "own"))
+    return both.select(F.monotonically_increasing_id().alias("id"), "line", "unlike", F.size("own").alias("n"),
+                       F.transform(differ, lambda s: F.xxhash64("hub", s)).alias("set"))
+
 
-    Shingles that no other line of ``sets`` has count for the places only.
+def prefixes(sets: DataFrame, threshold: float) -> DataFrame:
+    """``id, n, size, s, at, before``: the shingles of each set, rarest first, that a similar line may share
+    first, their places in that order, up to ``BEFORE`` shared ones before each, the line's number of
+    shingles and that of its set.
+
+    ``sets(id, set)`` holds whole lines, or with ``n, unlike`` what lines and their hub differ in: two lines of
+    a hub differ from each other in what just one of them differs from the hub.  So of sets X and Y similar
+    lines share ``(|X| + |Y| - (n + n') * (1 - t) / (1 + t)) / 2`` at least, hence ``|X| - n * (1 - t) / t``, and
+    ``|Y| * t / (1 + t)`` if the line of X is unlike the hub.  A whole line is what it differs in from an empty hub.
+    Shingles that no other set has count for the places only.
     """
-    each = sets.select("id", F.size("set").alias("n"), F.explode("set").alias("s"))
+    t = threshold
+    if "n" not in sets.columns:
+        sets = sets.select("id", "set", F.size("set").alias("n"), F.lit(False).alias("unlike"))
+    size = F.size("set")
+    least = F.greatest(F.when(~F.col("unlike"), size * F.lit(t / (1 + t))).otherwise(0),
+                       size - F.col("n") * F.lit((1 - t) / t)) - SLACK
+    each = sets.select("id", "n", size.alias("size"), F.greatest(F.ceil(least).cast("int"), F.lit(1)).alias("least"),
+                       F.explode("set").alias("s"))
     often = each.groupBy("s").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1")
-    ordered = each.join(often, "s").groupBy("id", "n").agg(
+    ordered = each.join(often, "s").groupBy("id", "n", "size", "least").agg(
         F.sort_array(F.collect_list(F.struct("lines", "s"))).alias("common"))
-    single = F.col("n") - F.size("common")
-    length = F.col("n") - F.ceil(F.col("n") * F.lit(threshold) - SLACK).cast("int") + 1
-    return ordered.withColumn("single", single).where(length > single).select(
-        "id", "n", "single", F.posexplode(F.slice("common", F.lit(1), length - single)).alias("i", "c")).select(
-        "id", "n", F.col("c.s").alias("s"), (F.col("single") + F.col("i")).alias("at"))
+    single = F.col("size") - F.size("common")
+    length = F.col("size") - F.col("least") + 1
+    cut = ordered.withColumn("single", single).where(length > single).select(
+        "id", "n", "size", "single", F.slice("common.s", F.lit(1), length - single).alias("first"))
+    return cut.select("*", F.posexplode("first").alias("i", "s")).select(
+        "id", "n", "size", "s", (F.col("single") + F.col("i")).alias("at"),
+        F.slice("first", F.greatest(F.col("i") + 1 - BEFORE, F.lit(1)), F.least("i", F.lit(BEFORE))).alias("before"))
 
 
 def parities(sets: DataFrame) -> DataFrame:
@@ -193,28 +219,27 @@ def parities(sets: DataFrame) -> DataFrame:
 
 
 def further_pairs(places: DataFrame, threshold: float) -> DataFrame:
-    """Distinct ``id, low``: lines told ``unlike`` and lines of other components that may
-    reach ``threshold``; ``places`` as of ``prefixes`` with ``root``, ``unlike``
-    and ``odd``.
-
-    Lines of n and n' shingles are similar if they share ``t / (1 + t) * (n + n')`` at
-    least.  If the first they share is at some place, only those from there on can be
-    shared: that bounds n' from each place of a line.  So a line asks each shingle
-    for the sizes that hold it, then for the lines of the sizes within bounds.  Lines
-    that differ in more parities than similar ones can differ in shingles are left out.
+    """Distinct ``id, low`` (of ``line`` if there is one): lines told ``unlike`` and lines of other components
+    that may reach ``threshold``; ``places`` as of ``prefixes`` with ``root``, ``unlike`` and ``odd``.
+
+    If the first shingle that two share is at some place, only those from there on can be
+    shared.  A pair is made where the two share a shingle and none of those just before: mostly once,
+    not for each shingle.  Lines that differ in more parities than similar ones can differ in
+    shingles are left out.
     """
-    t = F.lit(threshold)
-    n = F.col("n")
-    most = F.least(n / t, (n - F.col("at")) * (1 + t) / t - n) + SLACK
-    sizes = places.select("s", F.col("n").alias("size")).distinct()
-    asked = places.where("unlike").select("id", "root", "n", "s", "odd", (n * t - SLACK).alias("least"), most.alias("most"))
-    wanted = asked.where("least <= most").join(sizes, "s").where("size >= least and size <= most")
-    other = places.select("s", F.col("n").alias("size"), F.col("id").alias("low"),
-                          F.col("root").alias("low_root"), F.col("at").alias("low_at"), F.col("odd").alias("low_odd"))
+    t = threshold
+    line = F.col("line" if "line" in places.columns else "id")
+    asked = places.where("unlike").select("s", line.alias("id"), "root", "n", "size", "at", "before", "odd")
+    other = places.select("s", *[F.col(c).alias(f"low_{c}") for c in ("root", "n", "size", "at", "before", "odd")],
+                          line.alias("low"))
+    most = (F.col("n") + F.col("low_n")) * F.lit((1 - t) / (1 + t)) + SLACK
+    twice = F.col("size") + F.col("low_size") - most
+    may = (2 * (F.col("size") - F.col("at")) >= twice) & (2 * (F.col("low_size") - F.col("low_at")) >= twice)
+    alike = (F.col("low_n") >= F.col("n") * t - SLACK) & (F.col("n") >= F.col("low_n") * t - SLACK)
     differ = sum((F.bit_count(F.col("odd")[k].bitwiseXOR(F.col("low_odd")[k])) for k in range(WORDS)), F.lit(0))
-    close = differ * (1 + t) <= (n + F.col("size")) * (1 - t) + SLACK
-    may = (F.col("size") - F.col("low_at")) * (1 + t) + SLACK >= t * (n + F.col("size"))
-    return wanted.join(other, ["s", "size"]).where((F.col("root") != F.col("low_root")) & may & close).select(
+    first = ~F.arrays_overlap("before", "low_before")
+    return asked.join(other, "s").where(
+        (F.col("root") != F.col("low_root")) & alike & may & (differ <= most) & first).select(
         F.greatest("id", "low").alias("id"), F.least("id", "low").alias("low")).distinct()
 
 
@@ -228,15 +253,15 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
     result = stage(verified(pairs, texts, threshold, size), "line-pairs")
     roots = stage(connected_components(result.where("similar").select(
         F.col("id").alias("a"), F.col("low").alias("b"))), "line-roots")
-    told = stage(members.join(result, ["id", "low"]).select("bucket", "id", "similar"), "line-told")
+    told = stage(members.join(result, ["id", "low"]).select("bucket", "id", "low", "similar"), "line-told")
     open_ = told.groupBy("bucket").agg(F.bool_and("similar").alias("done"), F.count(F.lit(1)).alias("others")).where(
         "not done and others > 1").select("bucket")
-    left = stage(told.join(open_, "bucket").groupBy("id").agg((~F.bool_and("similar")).alias("unlike")), "line-left")
-    known = left.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "id", "unlike", F.coalesce("root", "id").alias("root"))
-    at_hand = stage(texts.join(left, "id", "left_semi").select(
-        "id", hashed_shingles(F.col("line"), size).alias("set")), "line-sets")
-    places = stage(prefixes(at_hand, threshold).join(known.join(parities(at_hand), "id"), "id"), "line-places")
+    left = told.join(open_, "bucket").select(
+        F.col("id").alias("line"), F.col("low").alias("hub"), (~F.col("similar")).alias("unlike")).distinct()
+    sets = stage(differences(left, texts, size), "line-sets")
+    known = sets.select("id", "line", "unlike").join(roots.withColumnRenamed("node", "line"), "line", "left").select(
+        "id", "line", "unlike", F.coalesce("root", "line").alias("root"))
+    places = stage(prefixes(sets, threshold).join(known.join(parities(sets), "id"), "id"), "line-places")
     more = stage(further_pairs(places, threshold), "line-further")
     linked = stage(verified(more, texts, threshold, size).where("similar"), "line-pairs")
     return roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(linked.select("id", "low"))
