@@ -97,13 +97,12 @@ def lines_of(rows: DataFrame) -> DataFrame:
 
 
 def sketches(lines: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Distinct lines ``(h1, h2, line, first)``, first being their first place, and, for each, ``(h1, h2, id, bands)``.
+    """Distinct lines ``(h1, h2, line)`` and, for each, ``(h1, h2, id, bands)``.
 
     The distinct lines are written in buckets of (h1, h2): what groups or joins
     them by that name later needs no further exchange of texts.
     """
-    distinct = _bucketed(lines.groupBy("h1", "h2").agg(
-        F.first("line").alias("line"), F.min(F.struct("doc_id", "line_no", "row")).alias("first")))
+    distinct = _bucketed(lines.groupBy("h1", "h2").agg(F.first("line").alias("line")))
     hashes = shingle_hashes(distinct, size)
     masks = _masks(ROWS * BANDS)
     minima = hashes.groupBy("h1", "h2").agg(
@@ -270,21 +269,26 @@ def similar_lines(sketched: DataFrame, distinct: DataFrame, size: int = SHINGLE,
 def classes(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, line_no, class_doc, class_line, kept`` of every line with a word: its
     class is named by the class's smallest (doc_id, line_no); of rows that share it one keeps the line."""
-    return row_classes(numbered(docs.select("doc_id", "text")), size, threshold).drop("row")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
+    return row_classes(rows, size, threshold).drop("row")
 
 
 def row_classes(rows: DataFrame, size: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
-    """``row`` and the columns of ``classes`` for rows as of ``numbered``."""
-    lines = lines_of(rows.select("row", "doc.doc_id", "doc.text"))
-    distinct, sketched = sketches(lines, size)
+    """``row`` and the columns of ``classes`` for ``rows(row, doc_id, text)``.
+
+    Where lines stand is written without their texts, which fixes ids made on the
+    way here; the texts are told apart in a pass of their own, by names only.
+    """
+    lines = stage(lines_of(rows).drop("line"), "line-names", compression="zstd")
+    distinct, sketched = sketches(lines_of(rows), size)
     roots = connected_components(similar_lines(sketched, distinct, size, threshold))
     near = sketched.join(roots.withColumnRenamed("node", "id"), "id").select("h1", "h2", "root")
-    first = distinct.select("h1", "h2", "first")
+    first = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no", "row")).alias("first"))
     linked = first.join(near, ["h1", "h2"])
     lowest = linked.groupBy("root").agg(F.min("first").alias("low"))
     moved = linked.join(lowest, "root").select("h1", "h2", "low")
     named = first.join(moved, ["h1", "h2"], "left").select("h1", "h2", F.coalesce("low", "first").alias("low"))
-    every = lines.select("row", "doc_id", "line_no", "h1", "h2").join(named, ["h1", "h2"])
+    every = lines.join(named, ["h1", "h2"])
     return every.select("row", "doc_id", "line_no", F.col("low.doc_id").alias("class_doc"),
                         F.col("low.line_no").alias("class_line"),
                         ((F.col("low.row") == F.col("row")) & (F.col("low.line_no") == F.col("line_no")))
@@ -298,7 +302,7 @@ def deduplicated(docs: DataFrame, size: int = SHINGLE, threshold: float = THRESH
     rows without drops keep their text as it is, nulls included.
     """
     rows = numbered(docs)
-    drops = row_classes(rows, size, threshold).where("not kept").groupBy("row").agg(
+    drops = row_classes(rows.select("row", "doc.doc_id", "doc.text"), size, threshold).where("not kept").groupBy("row").agg(
         F.collect_set("line_no").alias("gone"))
     joined = rows.join(drops, "row", "left")
     at = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
