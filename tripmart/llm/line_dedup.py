@@ -41,6 +41,8 @@ ROWS = 3
 BANDS = 7
 THRESHOLD = 0.8
 PIECE = 32                  # places of a line whose shingles are cut from one piece
+WIDE, BYTES = "UTF-32", 4   # an encoding of as many bytes for each character
+AT_ONCE = 16                # shingles of a line hashed in one row
 WORDS = 4                   # longs of parities that a line is told apart by
 BEFORE = 4                  # places before a shared shingle that tell whether it is the first
 SLACK = 1e-9                # bounds on counts stay safe from rounding
@@ -68,11 +70,7 @@ def shingles(line: Column, size: int = SHINGLE) -> Column:
 
 
 def shingle_hashes(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``h1, h2, s``: a row with the hash of each of the line's ``shingles``.
-
-    Pieces and places in them are rows, not arrays in a lambda: cutting and hashing
-    run in generated code, and no line's shingles are held at once.
-    """
+    """``h1, h2, s``: a row with the hash of each of the line's ``shingles``."""
     pieces = _pieces(F.col("line"), size)
     whole = F.array("line")
     cut = distinct.select("h1", "h2", F.explode(F.when(F.size(pieces) > 0, pieces).otherwise(whole)).alias("p"))
@@ -81,12 +79,39 @@ def shingle_hashes(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
         "h1", "h2", F.xxhash64(F.substring(F.col("p"), F.col("at"), F.lit(size))).alias("s"))
 
 
+def _last(wide: Column, size: int) -> Column:
+    """Byte, from 1, at which the last shingle of a line begins; its first if it has no whole one."""
+    return F.greatest(F.octet_length(wide) - (BYTES * size - 1), F.lit(1))
+
+
+def _cut(wide: Column, at: Column, size: int) -> Column:
+    return F.xxhash64(F.substring(wide, at, F.lit(BYTES * size)))
+
+
+def wide_hashes(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``h1, h2, s0, s1, ..``: hashes of the line's ``shingles``, ``AT_ONCE`` in a row, the last filled up
+    with the line's last one.
+
+    Characters of one width are found without a walk along the line.  Cutting and hashing run in
+    generated code, a row for many shingles, and no line's shingles are held at once.  The array of
+    one has each line encoded once, not anew for each of its rows.
+    """
+    wide = distinct.select("h1", "h2", F.explode(F.array(F.encode("line", WIDE))).alias("wide"))
+    first = wide.select("h1", "h2", "wide", _last(F.col("wide"), size).alias("last")).select(
+        "*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(BYTES * AT_ONCE))).alias("at"))
+    return first.select("h1", "h2", *[
+        _cut(F.col("wide"), F.least(F.col("at") + BYTES * k, F.col("last")), size).alias(f"s{k}") for k in range(AT_ONCE)])
+
+
 def _minimum(r: int, mask: int) -> Column:
     """Smallest hash in one of many orders: rows of a band look at different bits (a
     rotation), bands at different values of them (a mask)."""
-    s, turn = F.col("s"), 64 // ROWS * r
-    turned = F.shiftleft(s, turn).bitwiseOR(F.shiftrightunsigned(s, 64 - turn)) if turn else s
-    return F.min(turned.bitwiseXOR(F.lit(mask)))
+    def order(s: Column) -> Column:
+        turn = 64 // ROWS * r
+        turned = F.shiftleft(s, turn).bitwiseOR(F.shiftrightunsigned(s, 64 - turn)) if turn else s
+        return turned.bitwiseXOR(F.lit(mask))
+
+    return F.min(F.least(*[order(F.col(f"s{k}")) for k in range(AT_ONCE)]))
 
 
 def lines_of(rows: DataFrame) -> DataFrame:
@@ -103,7 +128,7 @@ def sketches(lines: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFram
     them by that name later needs no further exchange of texts.
     """
     distinct = _bucketed(lines.groupBy("h1", "h2").agg(F.first("line").alias("line")))
-    hashes = shingle_hashes(distinct, size)
+    hashes = wide_hashes(distinct, size)
     masks = _masks(ROWS * BANDS)
     minima = hashes.groupBy("h1", "h2").agg(
         *[_minimum(i % ROWS, m).alias(f"m{i}") for i, m in enumerate(masks)])
@@ -150,7 +175,10 @@ def line_texts(ids: DataFrame, named: DataFrame, distinct: DataFrame) -> DataFra
 
 
 def hashed_shingles(line: Column, size: int) -> Column:
-    return F.transform(F.array_distinct(shingles(line, size)), lambda s: F.xxhash64(s))
+    """The set of the line's shingles, as the hashes that ``wide_hashes`` has."""
+    hashes = F.transform(F.array(F.encode(line, WIDE)), lambda wide: F.transform(
+        F.sequence(F.lit(1), _last(wide, size), F.lit(BYTES)), lambda at: _cut(wide, at, size)))
+    return F.array_distinct(F.get(hashes, F.lit(0)))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float, size: int = SHINGLE) -> DataFrame:
