@@ -58,23 +58,23 @@ def test_hashes_are_those_of_the_shingles(spark):
     assert got == sorted(map(tuple, want.collect())) and len(got) == sum(len(_every(x)) for x in lines)
 
 
-def test_wide_hashes_are_one_for_each_shingle(spark):
-    """A hash for each different shingle, a row for many of them; the sets of verified pairs are the same."""
+def test_a_row_stands_for_many_hashes_and_sets_are_those_of_the_shingles(spark):
     rnd = random.Random(8)
-    lines = ["".join(rnd.choice("ab é数😀\r ") for _ in range(n)) for n in [1, 9, 10, 11, 25, 26, 41, 42, 74, 4000]]
-    lines += [lines[-1][5:60], lines[-1][7:20] + "x"]
+    sizes = [1, 9, 10, 11, 25, 26, 41, 42, 74, 4000]
+    lines = ["".join(rnd.choice(alphabet) for _ in range(n)) for n in sizes for alphabet in ("ab é数😀\r ", "abc \r")]
+    lines += [lines[-1][5:60], lines[-2][5:60], lines[-1][7:20] + "é"]
     docs = spark.createDataFrame([(i, -i, x) for i, x in enumerate(lines)], "h1 long, h2 long, line string")
-    got, rows = {i: set() for i in range(len(lines))}, 0
-    for r in line_dedup.wide_hashes(docs).collect():
+    want, got = {i: set() for i in range(len(lines))}, {i: set() for i in range(len(lines))}
+    for r in line_dedup.shingle_hashes(docs).collect():
+        want[r["h1"]].add(r["s"])
+    rows = line_dedup.hash_rows(docs).collect()
+    for r in rows:
         got[r["h1"]] |= set(r[2:])
-        rows += 1
-    assert rows == sum(-(-len(_every(x)) // line_dedup.AT_ONCE) for x in lines)
-    assert len(set().union(*got.values())) == len({s for x in lines for s in _every(x)})
-    for i, x in enumerate(lines):
-        for j, y in enumerate(lines):
-            assert len(got[i] & got[j]) == len(set(_every(x)) & set(_every(y)))
-    sets = docs.select("h1", line_dedup.hashed_shingles(F.col("line"), line_dedup.SHINGLE).alias("set")).collect()
-    assert all(len(r["set"]) == len(got[r["h1"]]) and set(r["set"]) == got[r["h1"]] for r in sets)
+    assert got == want and len(rows) < sum(len(_every(x)) for x in lines) / 12
+    sets = {r["h1"]: set(r["s"]) for r in docs.select(
+        "h1", line_dedup.hashed_shingles(F.col("line"), line_dedup.SHINGLE).alias("s")).collect()}
+    assert all(len(sets[i] & sets[j]) == len(set(_every(x)) & set(_every(y)))
+               for i, x in enumerate(lines) for j, y in enumerate(lines))
 
 
 def _join_rows(df):

@@ -79,28 +79,28 @@ def shingle_hashes(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
         "h1", "h2", F.xxhash64(F.substring(F.col("p"), F.col("at"), F.lit(size))).alias("s"))
 
 
-def _last(wide: Column, size: int) -> Column:
-    """Byte, from 1, at which the last shingle of a line begins; its first if it has no whole one."""
-    return F.greatest(F.octet_length(wide) - (BYTES * size - 1), F.lit(1))
-
-
-def _cut(wide: Column, at: Column, size: int) -> Column:
-    return F.xxhash64(F.substring(wide, at, F.lit(BYTES * size)))
+def hash_rows(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """``h1, h2, s0, s1, ..``: the hashes of ``shingle_hashes``, ``AT_ONCE`` in a row, the last row filled
+    up with its piece's last one.
 
+    A line without wide characters is one piece: its places are bytes and need no walk.
+    Cutting and hashing run in generated code, and no line's shingles are held at once.
+    What each piece needs is in an array, so that it is made once and not for each row.
+    """
+    line = F.col("line")
+    whole = (F.length(line) == F.octet_length(line)) | (F.length(line) < size)
+    parts = F.transform(F.when(whole, F.array(line)).otherwise(_pieces(line, size)), lambda p: F.struct(
+        p.alias("p"), p.cast("binary").alias("bytes"), F.length(p).alias("n")))
+    cut = distinct.select("h1", "h2", F.inline(parts)).select(
+        "*", F.greatest(F.col("n") - (size - 1), F.lit(1)).alias("last"))
+    first = cut.select("*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(AT_ONCE))).alias("at"))
 
-def wide_hashes(distinct: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """``h1, h2, s0, s1, ..``: hashes of the line's ``shingles``, ``AT_ONCE`` in a row, the last filled up
-    with the line's last one.
+    def hashed(k: int) -> Column:
+        at = F.least(F.col("at") + k, F.col("last"))
+        return F.xxhash64(F.when(F.octet_length("bytes") == F.col("n"), F.substring(F.col("bytes"), at, F.lit(size)))
+                          .otherwise(F.substring(F.col("p"), at, F.lit(size)).cast("binary")))
 
-    Characters of one width are found without a walk along the line.  Cutting and hashing run in
-    generated code, a row for many shingles, and no line's shingles are held at once.  The array of
-    one has each line encoded once, not anew for each of its rows.
-    """
-    wide = distinct.select("h1", "h2", F.explode(F.array(F.encode("line", WIDE))).alias("wide"))
-    first = wide.select("h1", "h2", "wide", _last(F.col("wide"), size).alias("last")).select(
-        "*", F.explode(F.sequence(F.lit(1), F.col("last"), F.lit(BYTES * AT_ONCE))).alias("at"))
-    return first.select("h1", "h2", *[
-        _cut(F.col("wide"), F.least(F.col("at") + BYTES * k, F.col("last")), size).alias(f"s{k}") for k in range(AT_ONCE)])
+    return first.select("h1", "h2", *[hashed(k).alias(f"s{k}") for k in range(AT_ONCE)])
 
 
 def _minimum(r: int, mask: int) -> Column:
@@ -128,7 +128,7 @@ def sketches(lines: DataFrame, size: int = SHINGLE) -> tuple[DataFrame, DataFram
     them by that name later needs no further exchange of texts.
     """
     distinct = _bucketed(lines.groupBy("h1", "h2").agg(F.first("line").alias("line")))
-    hashes = wide_hashes(distinct, size)
+    hashes = hash_rows(distinct, size)
     masks = _masks(ROWS * BANDS)
     minima = hashes.groupBy("h1", "h2").agg(
         *[_minimum(i % ROWS, m).alias(f"m{i}") for i, m in enumerate(masks)])
@@ -175,9 +175,11 @@ def line_texts(ids: DataFrame, named: DataFrame, distinct: DataFrame) -> DataFra
 
 
 def hashed_shingles(line: Column, size: int) -> Column:
-    """The set of the line's shingles, as the hashes that ``wide_hashes`` has."""
+    """The set of the line's shingles, as hashes of their characters in ``BYTES`` bytes each:
+    these are found without a walk.  The array of one has the line encoded once, not for each shingle."""
     hashes = F.transform(F.array(F.encode(line, WIDE)), lambda wide: F.transform(
-        F.sequence(F.lit(1), _last(wide, size), F.lit(BYTES)), lambda at: _cut(wide, at, size)))
+        F.sequence(F.lit(1), F.greatest(F.octet_length(wide) - (BYTES * size - 1), F.lit(1)), F.lit(BYTES)),
+        lambda at: F.xxhash64(F.substring(wide, at, F.lit(BYTES * size)))))
     return F.array_distinct(F.get(hashes, F.lit(0)))
 
 
